@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import null_tokens_to_null
 from ..operators.clean import INGEST_ORDER
-from ..schemas import RAW_SCHEMAS, STAR_SCHEMAS
+from ..schemas import RAW_SCHEMAS, STAR_SCHEMAS, STAR_TABLES
 
 _NO_PATH = "PATH_NOT_FOUND"
 
@@ -142,12 +142,13 @@ def extract_all(spark: SparkSession, raw_dir: str, **options) -> dict[str, DataF
     }
 
 
+def read_star_table(spark: SparkSession, zone: str, name: str, fmt: str = "parquet") -> DataFrame:
+    """One star table of a zone with its contract schema; a missing one raises."""
+    return read_table(spark, f"{zone}/{name}", fmt, STAR_SCHEMAS[name], on_missing="raise")
+
+
 def read_star(spark: SparkSession, zone: str, fmt: str = "parquet") -> dict[str, DataFrame]:
-    """The four star tables of a zone; a missing one raises."""
-    return {
-        name: read_table(spark, f"{zone}/{name}", fmt, schema, on_missing="raise")
-        for name, schema in STAR_SCHEMAS.items()
-    }
+    return {name: read_star_table(spark, zone, name, fmt) for name in STAR_TABLES}
 
 
 def register_views(tables: Mapping[str, DataFrame]) -> None:
