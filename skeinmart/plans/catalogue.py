@@ -14,7 +14,7 @@ from ..operators.dedupe import keep_first
 from ..session import fresh_dir, prepare
 from ..sources import artifacts, testbed, warehouse
 from . import analytics, marts
-from .snapshot import star_tables
+from .snapshot import raw_tables, star_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,29 +22,25 @@ Query = Callable[[SparkSession, str], DataFrame]
 # --- raw tables, cleaning, star -------------------------------------------------
 
 
-def _raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return testbed.raw_tables(spark, sf_dir)
-
-
 def _clean_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.clean_orders(_raw(spark, sf_dir)["orders"], testbed.ORDER_BY["orders"])
+    return clean.clean_orders(raw_tables(spark, sf_dir)["orders"], testbed.ORDER_BY["orders"])
 
 
 def _clean_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.clean_customers(_raw(spark, sf_dir)["customers"], testbed.ORDER_BY["customers"])
+    return clean.clean_customers(raw_tables(spark, sf_dir)["customers"], testbed.ORDER_BY["customers"])
 
 
 def _clean_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.clean_products(_raw(spark, sf_dir)["products"], testbed.ORDER_BY["products"])
+    return clean.clean_products(raw_tables(spark, sf_dir)["products"], testbed.ORDER_BY["products"])
 
 
 def extract_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_total(row_counts(_raw(spark, sf_dir)))
+    return with_total(row_counts(raw_tables(spark, sf_dir)))
 
 
 def null_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Markers planted in the raw products, read back as nulls."""
-    products = _raw(spark, sf_dir)["products"]
+    products = raw_tables(spark, sf_dir)["products"]
     key = F.col("product_id").cast("bigint")
     marked = products.select(
         "product_id",
@@ -56,17 +52,17 @@ def null_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedupe_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = _raw(spark, sf_dir)["orders"]
+    orders = raw_tables(spark, sf_dir)["orders"]
     return keep_first(orders, ["order_id"], testbed.ORDER_BY["orders"])
 
 
 def price_median_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.category_medians(clean.price_counts(clean.typed_products(_raw(spark, sf_dir)["products"])))
+    return clean.category_medians(clean.price_counts(clean.typed_products(raw_tables(spark, sf_dir)["products"])))
 
 
 def price_fill_null_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prices after the fill and before the dedupe, for both treatments of rows without a category."""
-    products = clean.typed_products(_raw(spark, sf_dir)["products"], {"seq": F.col("seq")})
+    products = clean.typed_products(raw_tables(spark, sf_dir)["products"], {"seq": F.col("seq")})
     cols = ["product_id", "seq", "category", "price"]
     lost = clean.fill_prices(products).select(*cols, F.lit("lost").alias("own_price"))
     kept = clean.fill_prices(products, True).select(*cols, F.lit("kept").alias("own_price"))
@@ -92,12 +88,12 @@ def _order_row_id() -> Column:
 
 
 def inject_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = _raw(spark, sf_dir)["orders"]
+    orders = raw_tables(spark, sf_dir)["orders"]
     return inject.inject_nulls(orders, 0.02, ["customer_id", "quantity", "status"], _order_row_id())
 
 
 def inject_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = _raw(spark, sf_dir)["customers"]
+    customers = raw_tables(spark, sf_dir)["customers"]
     row_id = F.col("seq").cast("string")
     damaged = inject.inject_nulls(customers, 0.02, ["name", "email"], row_id)
     return inject.inject_duplicates(damaged, 0.01, row_id, "seq")
@@ -123,7 +119,7 @@ def _per_table(check: Callable[[DataFrame, str], DataFrame], tables: dict[str, D
 
 def _star_and_raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The clean star, and the raw tables with readable keys, where the checks have something to find."""
-    raw = _raw(spark, sf_dir)
+    raw = raw_tables(spark, sf_dir)
     keys = {"orders": "order_id", "customers": "customer_id", "products": "product_id"}
     typed = {
         f"raw_{n}": raw[n].select(clean.integer_column(raw[n], k).alias(k)) for n, k in keys.items()
@@ -140,13 +136,13 @@ _PK = {
 def check_null_pks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The star's keys, and the foreign key of the raw orders, which has nulls."""
     tables = star_tables(spark, sf_dir)
-    raw = _raw(spark, sf_dir)["orders"].select("customer_id")
+    raw = raw_tables(spark, sf_dir)["orders"].select("customer_id")
     report = _per_table(lambda df, name: quality.check_null_pks(df, name, _PK[name]), tables)
     return report.unionByName(quality.check_null_pks(raw, "raw_orders", "customer_id"))
 
 
 def check_duplicate_pks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = _star_and_raw(spark, sf_dir)
+    tables = _star_andraw_tables(spark, sf_dir)
     return _per_table(lambda df, name: quality.check_duplicate_pks(df, name, _PK[name]), tables)
 
 
@@ -269,7 +265,7 @@ def registry() -> dict[str, Query]:
         "clean_orders": _clean_orders,
         "clean_customers": _clean_customers,
         "clean_products": _clean_products,
-        "clean_rows_removed": lambda s, d: clean.rows_removed(_raw(s, d)),
+        "clean_rows_removed": lambda s, d: clean.rows_removed(raw_tables(s, d)),
         "dedupe_keep_first": dedupe_keep_first,
         "price_median_by_category": price_median_by_category,
         "price_fill_null_category": price_fill_null_category,
@@ -318,7 +314,7 @@ def registry() -> dict[str, Query]:
         "check_unique": _one_kind("unique"),
         "quality_stats_by_table": lambda s, d: quality.statistics_by_table(_expectations(s, d)),
         "check_row_tolerance": lambda s, d: quality.check_row_tolerance(
-            _raw(s, d)["orders"], star_tables(s, d)["fact_orders"], "fact_orders"
+            raw_tables(s, d)["orders"], star_tables(s, d)["fact_orders"], "fact_orders"
         ),
         "inject_nulls": inject_nulls,
         "inject_duplicates": inject_duplicates,

@@ -1,4 +1,8 @@
-"""The star schema of a test-table folder, transformed once and then read by every query."""
+"""The raw and the star zone of a test-table folder, written once and then read by every query.
+
+The raw zone stands for the files a shop would deliver: the source tables mapped to
+dirty text. The star zone is the pipeline's transform of it.
+"""
 
 from __future__ import annotations
 
@@ -9,23 +13,48 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import fresh_dir
 from ..sources import testbed
 from ..sources.files import files_state, read_star
+from ..sources.warehouse import write_table
 from .pipeline import transform_to_zone
 
-_lock = threading.Lock()
+_lock = threading.RLock()
 _zones: dict[tuple, str] = {}
 
 
-def star_zone(spark: SparkSession, sf_dir: str) -> str:
-    """Folder with the written star. Rebuilt when the source files have changed."""
+def _state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Changes when the session or a source file changes."""
     paths = [f"{sf_dir}/{t}.parquet" for t in testbed.SOURCE_TABLES]
-    key = (spark.sparkContext.applicationId, sf_dir, files_state(spark, paths))
+    return spark.sparkContext.applicationId, sf_dir, files_state(spark, paths)
+
+
+def _raw_zone(spark: SparkSession, sf_dir: str, state: tuple) -> str:
     with _lock:
+        key = ("raw", *state)
         if key not in _zones:
+            zone = fresh_dir(spark, "raw")
+            for name, df in testbed.raw_tables(spark, sf_dir).items():
+                write_table(df, f"{zone}/{name}")
+            _zones[key] = zone
+        return _zones[key]
+
+
+def _star_zone(spark: SparkSession, sf_dir: str, state: tuple) -> str:
+    with _lock:
+        key = ("star", *state)
+        if key not in _zones:
+            raw = _read_raw(spark, _raw_zone(spark, sf_dir, state))
             zone = fresh_dir(spark, "star")
-            transform_to_zone(spark, testbed.raw_tables(spark, sf_dir), zone, testbed.ORDER_BY)
+            transform_to_zone(spark, raw, zone, testbed.ORDER_BY)
             _zones[key] = zone
         return _zones[key]
 
 
+def _read_raw(spark: SparkSession, zone: str) -> dict[str, DataFrame]:
+    return {name: spark.read.parquet(f"{zone}/{name}") for name in testbed.RAW_SQL}
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return _read_raw(spark, _raw_zone(spark, sf_dir, _state(spark, sf_dir)))
+
+
 def star_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return read_star(spark, star_zone(spark, sf_dir))
+    return read_star(spark, _star_zone(spark, sf_dir, _state(spark, sf_dir)))

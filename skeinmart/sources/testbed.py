@@ -85,19 +85,19 @@ def source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, key: str) -> DataFrame:
     """Give every core a share of an input that has fewer splits than there are cores.
 
     A large table has more splits than cores and stays as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """``orders``, ``customers`` and ``products`` as dirty text tables."""
     tables = {name: source(spark, sf_dir, name) for name in SOURCE_TABLES}
-    tables["lineitem"] = spread(tables["lineitem"])
+    tables["lineitem"] = spread(tables["lineitem"], "l_orderkey")
     out = {}
     for name, text in RAW_SQL.items():
         used = {t: df for t, df in tables.items() if "{" + t + "}" in text}
