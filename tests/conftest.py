@@ -16,6 +16,7 @@ def spark():
     session = local_session(
         "*",
         "tests",
+        shuffle_partitions="4",
         **{"spark.sql.warehouse.dir": f"{scratch}/warehouse", "spark.checkpoint.dir": f"{scratch}/shared"},
     )
     yield session
