@@ -94,7 +94,10 @@ fact_orders AS (
     SELECT order_id, customer_id, o.product_id, CAST(strftime(order_date, '%Y%m%d') AS INTEGER) AS date_id,
            quantity, coalesce(price, 0.0) AS unit_price,
            round_even(quantity * coalesce(price, 0.0), 2) AS revenue, status AS order_status
-    FROM clean_orders o LEFT JOIN clean_products p ON o.product_id = p.product_id),
+    FROM clean_orders o LEFT JOIN clean_products p ON o.product_id = p.product_id)
+"""
+
+_VIEWS = """
 live AS (SELECT * FROM fact_orders WHERE order_status <> 'cancelled'),
 mart AS (
     SELECT f.*, dd.month, dd.year, dd.month_name, dp.product_name, dp.category, dp.price
@@ -111,10 +114,6 @@ def _cleaned(query: str) -> str:
     return f"WITH {_RAW},{_CLEAN}\n{query}"
 
 
-def _star(query: str) -> str:
-    return f"WITH {_RAW},{_CLEAN},{_STAR}\n{query}"
-
-
 def _union(parts: list[str]) -> str:
     return "\nUNION ALL ".join(parts)
 
@@ -266,7 +265,13 @@ FROM (SELECT CAST(round(value * 100) AS BIGINT)::DOUBLE AS v FROM
 _SHARE = f"100.0::DOUBLE * {total('revenue')} / (SELECT {total('revenue')} FROM live)"
 
 
-def statements() -> dict[str, str]:
+def statements(given_star: bool = False) -> dict[str, str]:
+    """Statement per query. With ``given_star`` the star tables exist already and are not derived."""
+
+    def _star(query: str) -> str:
+        before = "" if given_star else f"{_RAW},{_CLEAN},{_STAR},"
+        return f"WITH {before}{_VIEWS}\n{query}"
+
     return {
         "extract_row_counts": _raw(
             f"SELECT * FROM ({_RAW_COUNTS}) UNION ALL SELECT 'total', CAST(sum(row_count) AS BIGINT) FROM ({_RAW_COUNTS})"

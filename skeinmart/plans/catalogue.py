@@ -142,7 +142,7 @@ def check_null_pks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def check_duplicate_pks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = _star_andraw_tables(spark, sf_dir)
+    tables = _star_and_raw(spark, sf_dir)
     return _per_table(lambda df, name: quality.check_duplicate_pks(df, name, _PK[name]), tables)
 
 
@@ -164,10 +164,6 @@ def check_revenue_positive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.check_revenue_positive(star_tables(spark, sf_dir)["fact_orders"])
 
 
-def _expectations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.evaluate_star(star_tables(spark, sf_dir))
-
-
 def _one_kind(kind: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         suites = {
@@ -249,6 +245,40 @@ def quality_report_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- registry -------------------------------------------------------------------
 
+# Plans that need nothing but the four star tables.
+STAR_PLANS: dict[str, Callable[[dict[str, DataFrame]], DataFrame]] = {
+    "q01_monthly_revenue": analytics.monthly_revenue,
+    "q02_top_products": analytics.top_products,
+    "q03_customer_lifetime_value": analytics.customer_lifetime_value,
+    "q04_new_vs_repeat": analytics.new_vs_repeat,
+    "q05_revenue_by_category": analytics.revenue_by_category,
+    "q06_order_value_trend": analytics.order_value_trend,
+    "q07_status_breakdown": analytics.status_breakdown,
+    "q08_day_of_week": analytics.day_of_week,
+    "q09_top_months": analytics.top_months,
+    "q10_top_products_ranked": analytics.top_products_ranked,
+    "q11_top_customers": analytics.top_customers,
+    "q12_category_revenue": analytics.category_revenue,
+    "q13_status_counts": analytics.status_counts,
+    "q14_table_counts": analytics.table_counts,
+    "mart_joined": marts.joined,
+    "mart_monthly": marts.monthly,
+    "mart_top_names": marts.top_names,
+    "mart_category": marts.category,
+    "mart_clv": marts.customer_value,
+    "mart_clv_histogram": marts.customer_value_histogram,
+    "mart_status": marts.status,
+    "mart_product_perf": marts.product_performance,
+    "mart_clv_top15": marts.customer_value_top,
+    "kpi_active": marts.kpi_active,
+    "kpi_all": marts.kpi_all,
+    "kpi_cards": lambda star: marts.kpi_cards(marts.kpi_all(star)),
+    "quality_report": quality.validate_star,
+    "quality_score": lambda star: quality.quality_score(quality.validate_star(star)),
+    "quality_tally": lambda star: quality.tally(quality.validate_star(star)),
+    "quality_stats_by_table": lambda star: quality.statistics_by_table(quality.evaluate_star(star)),
+}
+
 
 def _on_star(plan: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
     return lambda spark, sf_dir: plan(star_tables(spark, sf_dir))
@@ -273,46 +303,17 @@ def registry() -> dict[str, Query]:
         "dim_customers": lambda s, d: star.build_dim_customers(_clean_customers(s, d)),
         "dim_products": lambda s, d: star.build_dim_products(_clean_products(s, d)),
         "fact_orders": fact_orders,
-        "q01_monthly_revenue": _on_star(analytics.monthly_revenue),
-        "q02_top_products": _on_star(analytics.top_products),
-        "q03_customer_lifetime_value": _on_star(analytics.customer_lifetime_value),
-        "q04_new_vs_repeat": _on_star(analytics.new_vs_repeat),
-        "q05_revenue_by_category": _on_star(analytics.revenue_by_category),
-        "q06_order_value_trend": _on_star(analytics.order_value_trend),
-        "q07_status_breakdown": _on_star(analytics.status_breakdown),
-        "q08_day_of_week": _on_star(analytics.day_of_week),
-        "q09_top_months": _on_star(analytics.top_months),
-        "q10_top_products_ranked": _on_star(analytics.top_products_ranked),
-        "q11_top_customers": _on_star(analytics.top_customers),
-        "q12_category_revenue": _on_star(analytics.category_revenue),
-        "q13_status_counts": _on_star(analytics.status_counts),
-        "q14_table_counts": _on_star(analytics.table_counts),
-        "mart_joined": _on_star(marts.joined),
-        "mart_monthly": _on_star(marts.monthly),
-        "mart_top_names": _on_star(marts.top_names),
-        "mart_category": _on_star(marts.category),
-        "mart_clv": _on_star(marts.customer_value),
-        "mart_clv_histogram": _on_star(marts.customer_value_histogram),
-        "mart_status": _on_star(marts.status),
-        "mart_product_perf": _on_star(marts.product_performance),
-        "mart_clv_top15": _on_star(marts.customer_value_top),
-        "kpi_active": _on_star(marts.kpi_active),
-        "kpi_all": _on_star(marts.kpi_all),
-        "kpi_cards": _on_star(lambda t: marts.kpi_cards(marts.kpi_all(t))),
+        **{name: _on_star(plan) for name, plan in STAR_PLANS.items()},
         "check_null_pks": check_null_pks,
         "check_duplicate_pks": check_duplicate_pks,
         "check_ref_integrity": check_ref_integrity,
         "check_row_counts": check_row_counts,
         "check_revenue_positive": check_revenue_positive,
-        "quality_report": _on_star(quality.validate_star),
-        "quality_score": _on_star(lambda t: quality.quality_score(quality.validate_star(t))),
-        "quality_tally": _on_star(lambda t: quality.tally(quality.validate_star(t))),
         "check_regex": _one_kind("regex"),
         "check_range": _one_kind("range"),
         "check_set": _one_kind("set"),
         "check_not_null": _one_kind("not_null"),
         "check_unique": _one_kind("unique"),
-        "quality_stats_by_table": lambda s, d: quality.statistics_by_table(_expectations(s, d)),
         "check_row_tolerance": lambda s, d: quality.check_row_tolerance(
             raw_tables(s, d)["orders"], star_tables(s, d)["fact_orders"], "fact_orders"
         ),

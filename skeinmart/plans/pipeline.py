@@ -18,8 +18,9 @@ from ..operators import clean, star
 from ..operators.counts import row_counts
 from ..operators.quality import gate, validate_star
 from ..schemas import MANIFEST_DDL, STAR_TABLES
+from ..session import size_shuffles
 from ..sources.artifacts import write_report
-from ..sources.files import extract_all, read_star, read_star_table
+from ..sources.files import extract_all, files_state, read_star, read_star_table
 from ..sources.warehouse import load_all, write_table
 
 log = logging.getLogger(__name__)
@@ -185,7 +186,9 @@ def run_pipeline(
 
     def extract() -> None:
         nonlocal raw
-        raw = raw or extract_all(spark, zones.raw)
+        if raw is None:
+            raw = extract_all(spark, zones.raw)
+            size_shuffles(spark, files_state(spark, [zones.raw]).size)
 
     def transform() -> dict[str, int]:
         return transform_to_zone(spark, raw, zones.transformed, order_by)

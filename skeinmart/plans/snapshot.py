@@ -10,7 +10,7 @@ import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import fresh_dir
+from ..session import fresh_dir, size_shuffles
 from ..sources import testbed
 from ..sources.files import files_state, read_star
 from ..sources.warehouse import write_table
@@ -23,7 +23,9 @@ _zones: dict[tuple, str] = {}
 def _state(spark: SparkSession, sf_dir: str) -> tuple:
     """Changes when the session or a source file changes."""
     paths = [f"{sf_dir}/{t}.parquet" for t in testbed.SOURCE_TABLES]
-    return spark.sparkContext.applicationId, sf_dir, files_state(spark, paths)
+    files = files_state(spark, paths)
+    size_shuffles(spark, files.size)
+    return spark.sparkContext.applicationId, sf_dir, files
 
 
 def _raw_zone(spark: SparkSession, sf_dir: str, state: tuple) -> str:

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Mapping
+from dataclasses import dataclass
+from glob import glob
 
+from py4j.protocol import Py4JError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,7 +37,7 @@ def _or_empty(read, empty, on_missing: str, on_error: str) -> DataFrame:
         if e.getCondition() == _NO_PATH and on_missing == "raise":
             raise FileNotFoundError(str(e)) from e
         return empty()
-    except PySparkException:
+    except (PySparkException, Py4JError):  # a failing task surfaces as the latter
         if on_error == "raise":
             raise
         return empty()
@@ -170,9 +174,23 @@ def preview(df: DataFrame, n: int = 100) -> DataFrame:
     return df.limit(n)
 
 
-def files_state(spark: SparkSession, paths: list[str]) -> tuple:
-    """File count, bytes and last change under some paths. Lists the files, reads none of them."""
+@dataclass(frozen=True)
+class FilesState:
+    """What a listing says about some files; equal states mean unchanged files."""
+
+    files: int
+    size: int
+    changed: str
+
+
+def files_state(spark: SparkSession, paths: list[str]) -> FilesState:
+    """Count, bytes and last change of the files under some paths. Lists them, reads none."""
+    if all(os.path.exists(p) for p in paths):  # local folders need no job
+        found = [f for p in paths for f in ([p] if os.path.isfile(p) else glob(f"{p}/**/*", recursive=True))]
+        stats = [os.stat(f) for f in found if os.path.isfile(f)]
+        return FilesState(
+            len(stats), sum(s.st_size for s in stats), str(max((s.st_mtime_ns for s in stats), default=0))
+        )
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
-    return tuple(
-        listing.agg(F.count("*"), F.sum("length"), F.max("modificationTime").cast("string")).first()
-    )
+    row = listing.agg(F.count("*"), F.sum("length"), F.max("modificationTime").cast("string")).first()
+    return FilesState(row[0], row[1] or 0, row[2] or "")
