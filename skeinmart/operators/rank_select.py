@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 _PER_OCTAVE = 1024
 _OFFSET = 1 << 21
 
@@ -39,13 +41,26 @@ def with_running_total(df: DataFrame, groups: Sequence[str], order_by: str, weig
     )
 
 
-def weighted_medians(counted: DataFrame, groups: Sequence[str], value: str, weight: str) -> DataFrame:
+# Up to this many counted values one task may hold them all (some 100 MB).
+IN_MEMORY_VALUES = 1_000_000
+
+
+def weighted_medians(
+    counted: DataFrame, groups: Sequence[str], value: str, weight: str, n_values: int | None = None
+) -> DataFrame:
     """Median per group of a table of (groups, value, weight).
 
+    ``n_values`` is the number of rows of ``counted`` where that is known. A small
+    table is left to Spark's ``percentile``, which keeps a group's values in memory;
+    a larger or unknown one goes through the buckets. Both are exact.
+
     Equal values should be counted together first, at least per map-side key, so
     that a bucket holds few rows. Returns ``groups`` and ``median``. Null values and null groups are left out.
     """
     groups = list(groups)
+    if n_values is not None and n_values <= IN_MEMORY_VALUES:
+        known = counted.na.drop(subset=groups + [value])
+        return known.groupBy(*groups).agg(F.percentile(F.col(value), 0.5, F.col(weight)).alias("median"))
     rows = (
         counted.na.drop(subset=groups + [value])
         .select(*groups, F.col(value).alias("__v"), F.col(weight).alias("__w"))
@@ -80,7 +95,7 @@ def smallest_ids(df: DataFrame, draw: str, digest: Column, row_id: Column, k: Co
 
     ``digest`` is a hexadecimal hash, so its first four digits spread the rows
     over 65,536 even buckets. ``k`` may use ``total``, the row count of the draw.
-    Returns ``draw``, ``cut`` (a struct of digest and row id); no row when k = 0.
+    Returns ``draw``, ``cut`` (a struct of digest and row id); no row when k = 0. Runs a job.
     """
     rows = df.select(draw, digest.alias("__h"), row_id.alias("__id")).withColumn(
         "__bucket", F.substring("__h", 1, 4)
@@ -88,10 +103,13 @@ def smallest_ids(df: DataFrame, draw: str, digest: Column, row_id: Column, k: Co
     buckets = with_running_total(
         rows.groupBy(draw, "__bucket").agg(F.count("*").alias("__bw")), [draw], "__bucket", "__bw"
     )
-    wanted = (
+    # One row per draw. Written first, so that its size is known and the rows below
+    # are filtered by a broadcast instead of being shuffled to meet it.
+    wanted = materialize(
         buckets.withColumn("__k", k)
         .filter((F.col("below") < F.col("__k")) & (F.col("__k") <= F.col("below") + F.col("__bw")))
-        .select(draw, "__bucket", (F.col("__k") - F.col("below")).alias("__rest"))
+        .select(draw, "__bucket", (F.col("__k") - F.col("below")).alias("__rest")),
+        "wanted-buckets",
     )
     inside = Window.partitionBy(draw, "__bucket").orderBy("__h", "__id")
     return (

@@ -57,6 +57,7 @@ def dedupe_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def price_median_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The size of the counts is unknown here, so this is the bucketed selection."""
     return clean.category_medians(clean.price_counts(clean.typed_products(raw_tables(spark, sf_dir)["products"])))
 
 

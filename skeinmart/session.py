@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Settings the jobs rely on. Shuffle parallelism, memory and the broadcast
 # threshold stay the cluster's own: AQE sizes the reducers, and a side is only
@@ -99,3 +100,10 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = fresh_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialize_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """:func:`materialize`, and the number of rows written (from the same job)."""
+    seen = Observation()
+    written = materialize(df.observe(seen, F.count("*").alias("n")), label)
+    return written, seen.get["n"]

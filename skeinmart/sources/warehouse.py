@@ -47,7 +47,7 @@ def create_tables(spark: SparkSession, database: str = "default", fmt: str = "pa
 
 def drop_known(df: DataFrame, existing: DataFrame | None, pk: str) -> DataFrame:
     """Rows whose key the warehouse does not hold yet: a repeated append adds nothing."""
-    return df if existing is None else df.join(existing.select(pk).distinct(), pk, "left_anti").select(*df.columns)
+    return df if existing is None else df.join(existing.select(pk), pk, "left_anti").select(*df.columns)
 
 
 def _existing(read) -> DataFrame | None:

@@ -158,6 +158,14 @@ def test_median_sees_duplicates_and_untrimmed_categories(spark):
     assert got == {1: 1.0, 2: 9.0, 3: 1.0, 4: 100.0, 5: 100.0}
 
 
+def test_price_fill_is_the_same_for_large_tables(spark, monkeypatch):
+    rows = [(f"c{i % 3}" if i % 7 else None, str(i * 1.37) if i % 5 else None) for i in range(80)]
+    small = prices(spark, rows)
+    monkeypatch.setattr(clean, "IN_MEMORY_VALUES", 0)
+    monkeypatch.setattr("skeinmart.operators.rank_select.IN_MEMORY_VALUES", 0)
+    assert prices(spark, rows) == small
+
+
 def test_no_price_anywhere(spark):
     assert prices(spark, [("a", None), (None, "x")]) == [None, None]
 

@@ -25,7 +25,14 @@ def expected(rows):
 
 
 def medians(spark, rows):
-    return {r["g"]: r["median"] for r in weighted_medians(counted(spark, rows), ["g"], "v", "n").collect()}
+    """By buckets, checked against the in-memory way."""
+    table = counted(spark, rows)
+    got, small = (
+        {r["g"]: r["median"] for r in weighted_medians(table, ["g"], "v", "n", size).collect()}
+        for size in (None, len(rows))
+    )
+    assert got == small
+    return got
 
 
 def test_medians_with_a_hot_group(spark):
