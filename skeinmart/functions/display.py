@@ -29,3 +29,8 @@ def pad_right(c: Column, width: int) -> Column:
 def two_digits(c: Column) -> Column:
     """``07``"""
     return F.format_string("%02d", c)
+
+
+def dollars_padded(c: Column, width: int) -> Column:
+    """``$`` and the amount right-aligned in ``width`` characters."""
+    return F.concat(F.lit("$"), pad_left(F.format_number(c, 2), width))

@@ -73,17 +73,19 @@ _own_scratch: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """Root of the folder where intermediate tables are written.
 
-    The cluster names a folder every executor reaches in
-    ``spark.checkpoint.dir``. Only where that is unset (local tests) a temporary
-    folder of this application is used.
+    The cluster names a folder every executor reaches in ``spark.checkpoint.dir``
+    (or by ``setCheckpointDir``). Only a local session may go without: it gets a
+    temporary folder of its own.
     """
-    app_id = spark.sparkContext.applicationId
-    configured = spark.conf.get(CHECKPOINT_KEY, None)
+    context = spark.sparkContext
+    configured = spark.conf.get(CHECKPOINT_KEY, None) or context.getCheckpointDir()
     if configured:
-        return f"{configured.rstrip('/')}/skeinmart/{app_id}"
-    if app_id not in _own_scratch:
-        _own_scratch[app_id] = tempfile.mkdtemp(prefix="skeinmart-")
-    return _own_scratch[app_id]
+        return f"{configured.rstrip('/')}/skeinmart/{context.applicationId}"
+    if not context.master.startswith("local"):
+        raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors reach")
+    if context.applicationId not in _own_scratch:
+        _own_scratch[context.applicationId] = tempfile.mkdtemp(prefix="skeinmart-")
+    return _own_scratch[context.applicationId]
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
