@@ -140,6 +140,13 @@ def gate(report: DataFrame, mode: str = "warn") -> int:
     return len(failed)
 
 
+def keys_are_unique(report: DataFrame) -> bool:
+    """Whether the null and duplicate checks of all primary keys are in the report and passed."""
+    wanted = [f"{kind}({pk})" for pk in PRIMARY_KEYS.values() for kind in ("null_pk", "duplicate_pk")]
+    good = report.filter(F.col("check").isin(*wanted) & F.col("table").isin(*PRIMARY_KEYS) & F.col("passed"))
+    return good.select("check", "table").distinct().count() == len(wanted)
+
+
 def tally(report: DataFrame) -> DataFrame:
     """Checks passed and failed."""
     return report.agg(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,6 +13,27 @@ from ..functions.numeric import round_half_even_2
 from ..schemas import STAR_SCHEMAS
 
 
+class StarTables(dict):
+    """The star tables by name.
+
+    ``unique_keys`` states that every table holds one row per primary key, as the
+    transform writes them and as the quality suite can confirm. Distinct orders are
+    then plain counts, which combine before the shuffle; without it every order id
+    has to be shuffled. A warehouse that was appended to must not claim it.
+    """
+
+    def __init__(self, tables: Mapping[str, DataFrame], unique_keys: bool = False):
+        super().__init__(tables)
+        self.unique_keys = unique_keys
+
+
+def distinct_orders(star: Mapping[str, DataFrame]) -> Column:
+    """Aggregate: number of different orders among fact rows joined to dimensions of this star."""
+    if getattr(star, "unique_keys", False):
+        return F.count("order_id")
+    return F.count_distinct("order_id")
+
+
 def build_dim_date(orders: DataFrame) -> DataFrame:
     """One row per date that occurs. Distinct first, so the attributes are computed once per date."""
     return orders.select(F.col("order_date").cast("date").alias("d")).distinct().select(*calendar_columns(F.col("d")))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import numeric as N
 from ..operators.counts import row_counts
 from ..operators.ranking import top_k, with_rank
+from ..operators.star import distinct_orders
 from ..schemas import CANCELLED
 
 Star = Mapping[str, DataFrame]
@@ -50,7 +51,7 @@ def _by_month(star: Star) -> DataFrame:
         active(star["fact_orders"])
         .join(dates, "date_id")
         .groupBy(*_MONTH)
-        .agg(F.count_distinct("order_id").alias("orders"), F.sum("quantity").alias("units"), *_revenue())
+        .agg(distinct_orders(star).alias("orders"), F.sum("quantity").alias("units"), *_revenue())
     )
 
 
@@ -112,7 +113,7 @@ def top_products(star: Star, k: int = 10) -> DataFrame:
 def _by_customer(rows: DataFrame, star: Star, names: list[str], *more: Column) -> DataFrame:
     """Fact rows per customer_id, joined to the customer; columns as in :func:`_by_product`."""
     per_customer = rows.groupBy("customer_id").agg(
-        F.count_distinct("order_id").alias("orders"), *_revenue(), *more
+        distinct_orders(star).alias("orders"), *_revenue(), *more
     )
     same = [c for c in per_customer.columns if c not in ("customer_id", "rev", "rev_n")]
     return (
@@ -185,7 +186,7 @@ def _by_category(star: Star) -> DataFrame:
         active(star["fact_orders"])
         .join(categories, "product_id")
         .groupBy("category")
-        .agg(F.count_distinct("order_id").alias("orders"), F.sum("quantity").alias("units"), *_revenue())
+        .agg(distinct_orders(star).alias("orders"), F.sum("quantity").alias("units"), *_revenue())
     )
 
 
@@ -245,7 +246,7 @@ def day_of_week(star: Star) -> DataFrame:
         active(star["fact_orders"])
         .join(days, "date_id")
         .groupBy("day_name", "day_of_week")
-        .agg(F.count_distinct("order_id").alias("total_orders"), *_revenue())
+        .agg(distinct_orders(star).alias("total_orders"), *_revenue())
         .select(
             "day_name",
             "day_of_week",

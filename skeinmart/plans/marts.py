@@ -11,6 +11,7 @@ from ..functions import display
 from ..functions import numeric as N
 from ..functions.dates import period_label
 from ..operators.ranking import equal_width_histogram, top_k
+from ..operators.star import distinct_orders
 from ..schemas import CANCELLED
 
 Star = Mapping[str, DataFrame]
@@ -67,7 +68,7 @@ def monthly(star: Star) -> DataFrame:
     return (
         rows.join(dates, "date_id")
         .groupBy(*keys)
-        .agg(N.from_cents(_revenue()).alias("revenue"), F.count_distinct("order_id").alias("orders"))
+        .agg(N.from_cents(_revenue()).alias("revenue"), distinct_orders(star).alias("orders"))
         .withColumn("period", period_label(F.col("year"), F.col("month")))
         .orderBy("year", "month")
     )
@@ -152,7 +153,7 @@ def product_performance(star: Star) -> DataFrame:
     )
 
 
-def _kpis(rows: DataFrame) -> DataFrame:
+def _kpis(star: Star, rows: DataFrame) -> DataFrame:
     """Revenue, orders, order value and customers of some fact rows; zeros when there are none.
 
     The customers are counted on their own: one pass with two distinct counts would
@@ -161,7 +162,7 @@ def _kpis(rows: DataFrame) -> DataFrame:
     customers = rows.agg(F.count_distinct("customer_id")).scalar()
     total = rows.agg(
         F.coalesce(_revenue(), F.lit(0).cast("bigint")).alias("rev"),
-        F.count_distinct("order_id").alias("total_orders"),
+        distinct_orders(star).alias("total_orders"),
     )
     revenue = N.from_cents(F.col("rev"))
     return total.select(
@@ -174,12 +175,12 @@ def _kpis(rows: DataFrame) -> DataFrame:
 
 def kpi_active(star: Star) -> DataFrame:
     """Without cancelled orders and without orders of unknown dates or products."""
-    return _kpis(_known(star))
+    return _kpis(star, _known(star))
 
 
 def kpi_all(star: Star) -> DataFrame:
     """All fact rows."""
-    return _kpis(star["fact_orders"])
+    return _kpis(star, star["fact_orders"])
 
 
 def kpi_cards(kpis: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.star import StarTables
 from ..session import fresh_dir, size_shuffles
 from ..sources import testbed
 from ..sources.files import files_state, read_star
@@ -58,5 +59,6 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return _read_raw(spark, _raw_zone(spark, sf_dir, _state(spark, sf_dir)))
 
 
-def star_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return read_star(spark, _star_zone(spark, sf_dir, _state(spark, sf_dir)))
+def star_tables(spark: SparkSession, sf_dir: str) -> StarTables:
+    """The transform keeps one row per key, so the tables are read as such."""
+    return read_star(spark, _star_zone(spark, sf_dir, _state(spark, sf_dir)), unique_keys=True)

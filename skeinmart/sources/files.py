@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import null_tokens_to_null
 from ..operators.clean import INGEST_ORDER
+from ..operators.star import StarTables
 from ..schemas import RAW_SCHEMAS, STAR_SCHEMAS, STAR_TABLES
 
 _NO_PATH = "PATH_NOT_FOUND"
@@ -151,8 +152,9 @@ def read_star_table(spark: SparkSession, zone: str, name: str, fmt: str = "parqu
     return read_table(spark, f"{zone}/{name}", fmt, STAR_SCHEMAS[name], on_missing="raise")
 
 
-def read_star(spark: SparkSession, zone: str, fmt: str = "parquet") -> dict[str, DataFrame]:
-    return {name: read_star_table(spark, zone, name, fmt) for name in STAR_TABLES}
+def read_star(spark: SparkSession, zone: str, fmt: str = "parquet", unique_keys: bool = False) -> StarTables:
+    """The four star tables. For ``unique_keys`` see :class:`StarTables`."""
+    return StarTables({name: read_star_table(spark, zone, name, fmt) for name in STAR_TABLES}, unique_keys)
 
 
 def register_views(tables: Mapping[str, DataFrame]) -> None:

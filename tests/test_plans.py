@@ -6,6 +6,7 @@ import helpers as H
 from skeinmart.plans import analytics, marts, snapshot
 from skeinmart.plans.catalogue import STAR_PLANS
 from skeinmart.operators import clean
+from skeinmart.operators.star import StarTables
 from skeinmart.session import shared_dir, size_shuffles
 from skeinmart.schemas import STAR_SCHEMAS
 from test_star_queries import engines  # noqa: F401
@@ -72,6 +73,13 @@ def test_sums_come_before_the_join(empty_star, no_broadcast):
         assert text[:join].count("Exchange") == 0, key
 
 
+def test_unique_keys_spare_the_shuffle_of_order_ids(empty_star):
+    known = StarTables(empty_star, unique_keys=True)
+    for plan in (analytics.monthly_revenue, analytics.revenue_by_category, analytics.day_of_week, marts.monthly):
+        assert "order_id" in "".join(l for l in H.plan(plan(empty_star)).splitlines() if "hashpartitioning" in l)
+        assert "order_id" not in "".join(l for l in H.plan(plan(known)).splitlines() if "hashpartitioning" in l)
+
+
 def test_scans_read_only_what_they_need(empty_star):
     text = H.plan(analytics.status_counts(empty_star))
     assert "ReadSchema: struct<revenue:double,order_status:string>" in text

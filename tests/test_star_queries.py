@@ -9,6 +9,8 @@ import duckdb
 import pytest
 
 from compare import normalised
+from skeinmart.operators.quality import keys_are_unique, validate_star
+from skeinmart.operators.star import StarTables
 from skeinmart.oracle import statements
 from skeinmart.plans.catalogue import STAR_PLANS
 from skeinmart.schemas import STAR_SCHEMAS
@@ -43,9 +45,9 @@ STAR_SQL = {
 }
 
 
-@pytest.fixture(scope="module", params=["clean", "appended"])
+@pytest.fixture(scope="module", params=["clean", "clean, known to be unique", "appended"])
 def engines(spark, tmp_path_factory, request):
-    folder = tmp_path_factory.mktemp(request.param)
+    folder = tmp_path_factory.mktemp("star")
     con = duckdb.connect()
     star = {}
     for name, sql in STAR_SQL.items():
@@ -54,7 +56,8 @@ def engines(spark, tmp_path_factory, request):
             con.execute(f"INSERT INTO {name} SELECT * FROM {name} USING SAMPLE 30% (reservoir, 3)")
         con.execute(f"COPY {name} TO '{folder}/{name}.parquet'")
         star[name] = spark.read.schema(STAR_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
-    return con, star
+    assert keys_are_unique(validate_star(star)) == (request.param != "appended")
+    return con, StarTables(star, unique_keys=request.param == "clean, known to be unique")
 
 
 @pytest.mark.parametrize("name", [n for n in STAR_PLANS])
