@@ -154,22 +154,20 @@ def product_performance(star: Star) -> DataFrame:
 
 
 def _kpis(star: Star, rows: DataFrame) -> DataFrame:
-    """Revenue, orders, order value and customers of some fact rows; zeros when there are none.
-
-    The customers are counted on their own: one pass with two distinct counts would
-    send every row to the shuffle twice.
-    """
-    customers = rows.agg(F.count_distinct("customer_id")).scalar()
-    total = rows.agg(
-        F.coalesce(_revenue(), F.lit(0).cast("bigint")).alias("rev"),
-        distinct_orders(star).alias("total_orders"),
-    )
+    """Revenue, orders, order value and customers of some fact rows; zeros when there are none."""
+    sums = [F.coalesce(_revenue(), F.lit(0).cast("bigint")).alias("rev"), distinct_orders(star).alias("total_orders")]
+    customers = F.count_distinct("customer_id")
+    if getattr(star, "unique_keys", False):
+        total = rows.agg(*sums, customers.alias("total_customers"))
+    else:
+        # Two distinct counts in one pass would send every row to the shuffle twice.
+        total = rows.agg(*sums).withColumn("total_customers", rows.agg(customers).scalar())
     revenue = N.from_cents(F.col("rev"))
     return total.select(
         revenue.alias("total_revenue"),
         "total_orders",
         F.coalesce(F.try_divide(revenue, F.col("total_orders").cast("double")), F.lit(0.0)).alias("aov"),
-        customers.alias("total_customers"),
+        "total_customers",
     )
 
 
