@@ -67,6 +67,7 @@ def read_csv(
     dtype_overrides: Mapping[str, str] | None = None,
     null_tokens: bool = True,
     ingest_order: bool = False,
+    multi_line: bool = False,
     on_missing: str = "empty",
     on_error: str = "raise",
 ) -> DataFrame:
@@ -74,12 +75,13 @@ def read_csv(
 
     Column names come from the header, so optional columns may be absent and the
     order is free; there is no inference pass. ``schema`` is the shape of the
-    empty frame given back for a missing file.
+    empty frame given back for a missing file. ``multi_line`` allows line breaks in
+    quoted fields, at the price that one file is then read by one task.
     """
 
     def read() -> DataFrame:
         # escape='"': quotes inside a quoted field are doubled.
-        df = spark.read.option("header", True).option("escape", '"').option("multiLine", False).csv(path)
+        df = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line).csv(path)
         if ingest_order:
             df = with_ingest_order(df)
         if null_tokens:

@@ -125,3 +125,40 @@ def test_zones_follow_changed_files(spark, tmp_path):
 def test_fill_is_one_pass_over_the_products(spark):
     text = H.plan(clean.fill_prices(clean.typed_products(H.products(spark))))
     assert text.count("Scan ExistingRDD") == 1 and "Exchange hashpartitioning" not in text
+
+
+@pytest.fixture
+def small_skew_limits(spark):
+    """Skew handling as on large data, with limits a test can reach."""
+    conf = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_a_hot_product_is_split_in_the_fact_join(spark, no_broadcast, small_skew_limits):
+    from pyspark.sql import functions as F
+    from skeinmart.operators.star import build_fact_orders
+
+    product = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 500)
+    orders = spark.range(60_000, numPartitions=8).select(
+        F.col("id").alias("order_id"), F.col("id").alias("customer_id"), product.alias("product_id"),
+        (F.col("id") % 5).alias("quantity"), F.lit("2024-01-01").cast("date").alias("order_date"),
+        F.md5(F.col("id").cast("string")).alias("status"),
+    )
+    products = spark.range(500).select(F.col("id").alias("product_id"), (F.col("id") * 1.5).alias("price"))
+    fact = build_fact_orders(orders, products)
+    assert "skew=true" in H.final_plan(fact)
+    assert fact.count() == 60_000
+    hot = fact.filter("product_id = 7").agg(F.count("*"), F.sum("revenue")).first()
+    want = [i for i in range(60_000) if i % 3 == 0 or i % 500 == 7]
+    assert tuple(hot) == (len(want), sum((i % 5) * 10.5 for i in want))

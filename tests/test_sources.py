@@ -28,6 +28,11 @@ def test_csv_null_tokens_and_quotes(spark, tmp_path):
     assert H.rows(df) == [(None, 'say "hi", you'), (None, None)]
 
 
+def test_csv_line_breaks_in_fields(spark, tmp_path):
+    path = write(tmp_path / "t.csv", 'a,b\n1,"two\nlines"\n2,x\n')
+    assert H.rows(files.read_csv(spark, path, multi_line=True)) == [("1", "two\nlines"), ("2", "x")]
+
+
 def test_missing_file(spark, tmp_path):
     gone = str(tmp_path / "gone.csv")
     assert files.read_csv(spark, gone).columns == []
