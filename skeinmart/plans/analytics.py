@@ -44,15 +44,23 @@ def _revenue() -> list[Column]:
     return [N.sum_cents(F.col("revenue")).alias("rev"), F.count("revenue").alias("rev_n")]
 
 
+def _by_labels(star: Star, dim: str, key: str, labels: tuple[str, ...]) -> DataFrame:
+    """Active fact by columns of one dimension: distinct orders, units, revenue.
+
+    With unique keys all of these add up, so the fact is summed per dimension key
+    first; otherwise an order may occur under several keys and is counted after the join.
+    """
+    fact = active(star["fact_orders"])
+    dimension = star[dim].select(key, *labels)
+    sums = [distinct_orders(star).alias("orders"), F.sum("quantity").alias("units"), *_revenue()]
+    if getattr(star, "unique_keys", False):
+        per_key = fact.groupBy(key).agg(*sums).join(dimension, key)
+        return per_key.groupBy(*labels).agg(*[F.sum(c).alias(c) for c in ("orders", "units", "rev", "rev_n")])
+    return fact.join(dimension, key).groupBy(*labels).agg(*sums)
+
+
 def _by_month(star: Star) -> DataFrame:
-    """Active fact per month: distinct orders, units, revenue."""
-    dates = star["dim_date"].select("date_id", *_MONTH)
-    return (
-        active(star["fact_orders"])
-        .join(dates, "date_id")
-        .groupBy(*_MONTH)
-        .agg(distinct_orders(star).alias("orders"), F.sum("quantity").alias("units"), *_revenue())
-    )
+    return _by_labels(star, "dim_date", "date_id", _MONTH)
 
 
 def monthly_revenue(star: Star) -> DataFrame:
@@ -180,14 +188,7 @@ def new_vs_repeat(star: Star) -> DataFrame:
 
 
 def _by_category(star: Star) -> DataFrame:
-    """Active fact per category, with exact distinct orders."""
-    categories = star["dim_products"].select("product_id", "category")
-    return (
-        active(star["fact_orders"])
-        .join(categories, "product_id")
-        .groupBy("category")
-        .agg(distinct_orders(star).alias("orders"), F.sum("quantity").alias("units"), *_revenue())
-    )
+    return _by_labels(star, "dim_products", "product_id", ("category",))
 
 
 def revenue_by_category(star: Star) -> DataFrame:
@@ -241,16 +242,12 @@ def status_breakdown(star: Star) -> DataFrame:
 
 
 def day_of_week(star: Star) -> DataFrame:
-    days = star["dim_date"].select("date_id", "day_name", "day_of_week")
     return (
-        active(star["fact_orders"])
-        .join(days, "date_id")
-        .groupBy("day_name", "day_of_week")
-        .agg(distinct_orders(star).alias("total_orders"), *_revenue())
+        _by_labels(star, "dim_date", "date_id", ("day_name", "day_of_week"))
         .select(
             "day_name",
             "day_of_week",
-            "total_orders",
+            F.col("orders").alias("total_orders"),
             money().alias("total_revenue"),
             average("rev", "rev_n").alias("avg_revenue"),
         )
