@@ -9,7 +9,8 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import compare, oracle
-from skeinmart.plans.catalogue import STAR_PLANS
+from skeinmart.oracle import statements
+from skeinmart.plans.catalogue import STAR_PLANS, registry
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -17,7 +18,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test table
 
 
 def test_every_query_has_a_statement():
-    assert list(entry.queries()) and set(entry.queries()) == set(entry.oracle_sql())
+    assert registry() and set(registry()) == set(statements())
 
 
 def test_entry(spark):
@@ -30,6 +31,6 @@ def duck():
     return oracle(SF_DIR)
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if n not in STAR_PLANS])
+@pytest.mark.parametrize("name", [n for n in registry() if n not in STAR_PLANS])
 def test_query(spark, duck, name):
-    assert compare(spark, duck, SF_DIR, name, entry.queries()[name], entry.oracle_sql()[name]) is None
+    assert compare(spark, duck, SF_DIR, name, registry()[name], statements()[name]) is None
