@@ -93,14 +93,14 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write an intermediate table to the shared folder and read it back.
+def materialize(df: DataFrame, label: str, **options: str) -> DataFrame:
+    """Write an intermediate table to the shared folder and read it back; options are the Parquet writer's.
 
     Runs a job. The copy survives lost executors, is computed once however often
     it is used, and its file size is what Spark's broadcast decision looks at.
     """
     path = fresh_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
