@@ -1,10 +1,10 @@
 """Removal of repeated passages by hash-compared suffix sort.
 
 A passage is repeated when a string of ``length`` bytes starts at two places. Every
-window of that length owns the k-gram with the least hash in it, so equal windows own
-equal k-grams at equal offsets, and only these anchors (about one per 170 bytes) are
-shuffled. An anchor whose whole context (all bytes of the windows that can own it)
-occurs again is settled by a hash of the context. The other anchors of a k-gram are
+window of that length owns the leftmost k-gram of the least hash in it, so equal
+windows own equal k-grams at equal offsets, and only these anchors (about one per 170
+bytes) are shuffled. An anchor whose whole context (all bytes of the windows that own
+it) occurs again is settled by a hash of the context. The other anchors of a k-gram are
 suffix-sorted: prefix polynomial hashes and binary search give the common extension
 of two suffixes, so a comparison in the mergesort takes logarithmic time. The longest
 extensions of the neighbours to the right and to the left say which windows can repeat
@@ -17,7 +17,9 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,8 +29,10 @@ from .tables import binary_list, map_arrow, row_keys, slices, starts, whole_grou
 LENGTH = 400
 GRAM = 64
 # k-grams with more different contexts than this are settled by window hashes alone.
-HOT_CONTEXTS = 8192
+HOT_CONTEXTS = 4096
+# Bytes worked on at a time. The place in a slice shares a word with the hash.
 SLICE_BYTES = 2 << 20
+PLACE_BITS = 22
 # Windows matched at a time, unless one k-gram has more.
 SLICE_WINDOWS = 1 << 20
 
@@ -72,41 +76,43 @@ def window_minimum(h: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(back[: n - w + 1], ahead[w - 1 : n])
 
 
-def window_maximum(h: np.ndarray, w: int) -> np.ndarray:
-    return ~window_minimum(~h, w)
-
-
-def anchors_of(text: bytes, length: int, gram: int, piece: int = SLICE_BYTES) -> tuple[np.ndarray, np.ndarray]:
-    """Positions in a text, and hashes, of the k-grams that have the least hash of some window (ties all count)."""
+def anchors_of(text: bytes, length: int, gram: int, piece: int = SLICE_BYTES) -> tuple[np.ndarray, ...]:
+    """Of each anchor of a text: its place, its k-gram's hash, and the first and last window that own it."""
     w = length - gram + 1
-    places, hashes = [], []
+    mask = np.uint64((1 << PLACE_BITS) - 1)
+    out: list[tuple] = []
     for at in range(0, len(text) - length + 1, piece):  # the windows that begin in this piece
         data = np.frombuffer(text, np.uint8, min(len(text) - at, piece + length - 1), at)
-        h = mixed(PrefixHash(data)(np.arange(len(data) - gram + 1), gram)) | np.uint64(1)
-        low = window_minimum(h, w)
-        edge = np.zeros(w - 1, np.uint64)
-        # No window's least hash exceeds the hash of a k-gram in it.
-        own = np.flatnonzero(window_maximum(np.concatenate([edge, low, edge]), w) == h)
-        places.append(own + at)
-        hashes.append(h[own])
-    if not places:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    where, first = np.unique(np.concatenate(places), return_index=True)
-    return where, np.concatenate(hashes)[first]
+        h = mixed(PrefixHash(data)(np.arange(len(data) - gram + 1), gram))
+        # Least hash, then leftmost: both in one word.
+        low = window_minimum((h & ~mask) | np.arange(len(h), dtype=np.uint64), w)
+        first = starts(low)
+        place = (low[first] & mask).astype(np.int64)
+        last = np.append(first[1:], len(low)) - 1
+        out.append((place + at, h[place], first + at, last + at))
+    if not out:
+        return (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+    place, h, first, last = (np.concatenate(x) for x in zip(*out))
+    own = starts(place)  # an anchor may own windows on both sides of a piece's end
+    return place[own], h[own], first[own], last[np.append(own[1:], len(place)) - 1]
+
+
+def keys(id_col: str, text_col: str) -> list:
+    """As ``row_keys``, with a shorter text hash."""
+    return [row_keys(id_col, text_col)[0], F.hash(whole_text(text_col)).alias("k_text")]
 
 
 def anchors(docs: DataFrame, id_col: str, text_col: str, length: int, gram: int) -> DataFrame:
-    """k_id, k_text, pos, left, right, gram, context: the bytes before and from pos that its windows can hold."""
-    reach = length - gram
+    """k_id, k_text, pos, left, right, gram, context: the bytes before and from pos in the windows that own it."""
 
     def run(batch: pa.RecordBatch):
         ids, texts = (batch.column(i).to_numpy() for i in (0, 1))
         out: list[list] = [[] for _ in range(7)]
         for k, t in enumerate(binary_list(batch.column(2))):
-            where, h = anchors_of(t, length, gram)
+            where, h, first, last = anchors_of(t, length, gram)
             if not len(where):
                 continue
-            left, right = np.minimum(where, reach), np.minimum(len(t) - where, length)
+            left, right = where - first, last + length - where
             context = [
                 xxhash.xxh64_intdigest(t[p - a : p + b], a << 16 | b)
                 for p, a, b in zip(where.tolist(), left.tolist(), right.tolist())
@@ -116,11 +122,23 @@ def anchors(docs: DataFrame, id_col: str, text_col: str, length: int, gram: int)
             for o, c in zip(out, (*columns, np.array(context, np.uint64).view(np.int64))):
                 o.append(c)
         if out[0]:
-            kinds = [np.int64, np.int64, np.int64, np.int32, np.int32, np.int64, np.int64]
+            kinds = [np.int64, np.int32, np.int64, np.int32, np.int32, np.int64, np.int64]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(o).astype(k)) for o, k in zip(out, kinds)], NAMES)
 
-    rows = docs.select(*row_keys(id_col, text_col), whole_text(text_col).alias("t"))
-    return map_arrow(rows, run, "k_id long, k_text long, pos long, left int, right int, gram long, context long")
+    rows = docs.select(*keys(id_col, text_col), whole_text(text_col).alias("t"))
+    return map_arrow(rows, run, "k_id long, k_text int, pos long, left int, right int, gram long, context long")
+
+
+def packed(rows: DataFrame) -> DataFrame:
+    """The frame with its texts (column t) compressed one by one, for the shuffle."""
+
+    def run(batch: pa.RecordBatch):
+        squeeze = zstandard.ZstdCompressor(level=6).compress
+        t = pa.array([squeeze(x) for x in binary_list(batch.column("t"))], pa.binary())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], t], batch.schema.names)
+
+    fields = ", ".join(f"{n} {k}" for n, k in rows.dtypes[:-1])
+    return map_arrow(rows, run, f"{fields}, t binary")
 
 
 NAMES = ["k_id", "k_text", "pos", "left", "right", "gram", "context"]
@@ -245,6 +263,14 @@ def repeats(parts: list[bytes], left: np.ndarray, group: np.ndarray, length: int
     return found
 
 
+def group_slices(table: pa.Table):
+    """Tables of whole k-grams with about SLICE_BYTES / 2 of context, since the hashes need many times that."""
+    size = pc.binary_length(table.column("bytes")).to_numpy()
+    edges = np.append(starts(table.column("gram").to_numpy()), table.num_rows)
+    for i, j in slices(np.add.reduceat(size, edges[:-1]).tolist(), SLICE_BYTES // 2):
+        yield table.slice(edges[i], edges[j] - edges[i])
+
+
 def verify(found, parts, left, c, p, o1, o2, length) -> None:
     """Add a run of matched windows if its bytes agree; else those of its windows that do."""
     x = parts[c][left[c] - o2 : left[c] - o1 + length]
@@ -277,15 +303,15 @@ def repeated_spans(
     wanted = contexts.join(sizes, "gram").groupBy("k_id", "k_text").agg(
         F.collect_list(F.struct("gram", "context", "pos", "left", "right", "settled", "hot")).alias("list")
     )
-    texts = docs.select(*row_keys(id_col, text_col), whole_text(text_col).alias("t"))
+    texts = packed(docs.select(*keys(id_col, text_col), whole_text(text_col).alias("t")))
     cut = texts.join(wanted, ["k_id", "k_text"]).select("k_id", "k_text", "t", "list")
     names = ["gram", "context", "k_id", "k_text", "pos", "left", "settled", "hot", "bytes"]
 
     def extract(batch: pa.RecordBatch):
         rows: list[list] = [[] for _ in names]
-        raw = batch.column(2).cast(pa.binary())
+        raw, unpack = batch.column(2), zstandard.ZstdDecompressor().decompress
         for k in range(batch.num_rows):
-            t, i, x = raw[k].as_py(), batch.column(0)[k].as_py(), batch.column(1)[k].as_py()
+            t, i, x = unpack(raw[k].as_py()), batch.column(0)[k].as_py(), batch.column(1)[k].as_py()
             for a in batch.column(3)[k].as_py():
                 value = (a["gram"], a["context"], i, x, a["pos"], a["left"], a["settled"], a["hot"],
                          t[a["pos"] - a["left"] : a["pos"] + a["right"]])
@@ -295,13 +321,13 @@ def repeated_spans(
                 yield pa.RecordBatch.from_arrays([pa.array(r, s) for r, s in zip(rows, kinds)], names)
                 rows = [[] for _ in names]
 
-    kinds = [pa.int64()] * 5 + [pa.int32(), pa.bool_(), pa.bool_(), pa.binary()]
-    schema = "gram long, context long, k_id long, k_text long, pos long, left int, settled boolean, hot boolean, bytes binary"
-    cut = materialize(map_arrow(cut, extract, schema), "context-bytes")
-    spans = "k_id long, k_text long, start long, stop long"
+    kinds = [pa.int64()] * 3 + [pa.int32(), pa.int64(), pa.int32(), pa.bool_(), pa.bool_(), pa.binary()]
+    schema = "gram long, context long, k_id long, k_text int, pos long, left int, settled boolean, hot boolean, bytes binary"
+    cut = materialize(map_arrow(cut, extract, schema), "context-bytes", compression="zstd")
+    spans = "k_id long, k_text int, start long, stop long"
 
     def match(batches):
-        for t in whole_groups(batches, ["gram"], 20_000):
+        for t in (part for table in whole_groups(batches, ["gram"], 5_000) for part in group_slices(table)):
             gram_of, context = t.column("gram").to_numpy(), t.column("context").to_numpy()
             t = t.take(pa.array(starts(gram_of, context)))  # repeats of a row bring the same context again
             gram_of, parts = t.column("gram").to_numpy(), t.column("bytes").to_pylist()
@@ -327,13 +353,13 @@ def repeated_spans(
             n = len(o)
             h = np.array([(xxhash.xxh3_64_intdigest(w := b[a - x : a - x + length], x), xxhash.xxh64_intdigest(w, x)) for x in o], np.uint64)
             h = h.reshape(-1, 2).view(np.int64)
-            keep = [pa.array(np.full(n, row[k])) for k in ("context", "k_id", "k_text")]
+            keep = [pa.array(np.full(n, row[k], d)) for k, d in (("context", np.int64), ("k_id", np.int64), ("k_text", np.int32))]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(h[:, 0]), pa.array(h[:, 1]), *keep, pa.array(row["pos"] - np.array(o, np.int64))],
                 ["h", "g", "context", "k_id", "k_text", "start"],
             )
 
-    every = map_arrow(cut.where("hot"), windows, "h long, g long, context long, k_id long, k_text long, start long")
+    every = map_arrow(cut.where("hot"), windows, "h long, g long, context long, k_id long, k_text int, start long")
     twice = every.groupBy("h", "g").agg((F.min("context") < F.max("context")).alias("two")).where("two").select("h", "g")
     crowded = every.join(twice, ["h", "g"], "left_semi").select("k_id", "k_text", "start", (F.col("start") + length).alias("stop"))
     return settled.unionByName(usual).unionByName(crowded).distinct()
@@ -351,13 +377,14 @@ def remove_repeats(
     """
     spans = repeated_spans(docs, id_col, text_col, length, gram, hot)
     spans = spans.groupBy("k_id", "k_text").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("spans"))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), *row_keys(id_col, text_col), whole_text(text_col).alias("t"))
+    rows = packed(docs.select(F.col(id_col).cast("long").alias("doc_id"), *keys(id_col, text_col), whole_text(text_col).alias("t")))
     rows = rows.join(spans, ["k_id", "k_text"], "left").select("doc_id", "t", "spans")
 
     def run(batch: pa.RecordBatch):
         out: list[list] = [[] for _ in range(5)]
         spans = batch.column("spans")
-        for k, t in enumerate(binary_list(batch.column("t"))):
+        unpack = zstandard.ZstdDecompressor().decompress
+        for k, t in enumerate(map(unpack, batch.column("t").to_pylist())):
             merged: list[list[int]] = []
             for s in spans[k].as_py() or ():
                 if merged and s["start"] <= merged[-1][1]:
