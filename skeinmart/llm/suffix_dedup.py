@@ -288,7 +288,8 @@ def repeated_spans(
     """k_id, k_text, start, stop: byte ranges made of repeated strings; ranges may overlap."""
     found = materialize(anchors(docs, id_col, text_col, length, gram), "anchors")
     grams = found.groupBy("gram").agg(F.count("*").alias("n"), F.min("context").alias("x"), F.max("context").alias("y"))
-    grams = grams.where("n > 1").select("gram", F.expr("x = y").alias("one"))
+    # Written, so that Spark can split the join of a k-gram that very many anchors have.
+    grams = materialize(grams.where("n > 1").select("gram", F.expr("x = y").alias("one")), "shared-grams")
     shared = materialize(found.join(grams, "gram"), "shared-anchors")
     mixed_rows = shared.where("NOT one")
     where = F.struct("k_id", "k_text", "pos", "left", "right")
