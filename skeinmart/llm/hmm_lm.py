@@ -250,11 +250,13 @@ def first_model(sequences: list[np.ndarray], k: int, classes: int) -> Model:
     return model
 
 
-def train(rows: DataFrame, classes: int, states: int, rounds: int) -> Model:
-    """Baum-Welch: first parameters from START_ROWS rows, then counts of all training rows in each round."""
+def train(rows: DataFrame, n_rows: int, classes: int, states: int, rounds: int) -> Model:
+    """Baum-Welch: first parameters from START_ROWS of the n_rows training rows, then counts of all of them in each round."""
     spark = rows.sparkSession
     learn = rows.where("train")
-    sample = learn.orderBy(F.xxhash64("k_id", "k_text"), "k_id").limit(START_ROWS).select(F.col("classes").alias("c"))
+    h = F.pmod(F.xxhash64("k_id", "k_text"), F.lit(1 << 30))
+    few = learn.where(h < int((1 << 30) * min(1.0, 2 * START_ROWS / max(n_rows, 1))))  # about twice as many as are taken
+    sample = few.orderBy(h, "k_id").limit(START_ROWS).select(F.col("classes").alias("c"))
     model = first_model([np.frombuffer(bytes(r.c), "<u2").astype(np.int64) for r in sample.collect()], states, classes)
     for _ in range(rounds):
         shared = spark.sparkContext.broadcast(vars(model))
@@ -296,7 +298,8 @@ def score_texts(
     counts = materialize(count_words(rows), "word-counts")
     voc = vocabulary(counts)
     coded = materialize(encode(rows, voc), "classes")
-    model = train(coded, voc.n_classes, states, rounds)
+    n_rows = int(voc.count[voc.listed[END]]) if END in voc.listed else 0
+    model = train(coded, n_rows, voc.n_classes, states, rounds)
 
     # Words outside the list: their counts come by a join; none has more than 1/LISTED of all tokens.
     other = coded.select("k_id", "k_text", F.explode("rest").alias("r")).select("k_id", "k_text", "r.word", "r.tf")
