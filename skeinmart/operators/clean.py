@@ -11,9 +11,9 @@ from .. import schemas as S
 from ..functions.dates import ISO_DATE, date_column
 from ..functions.numeric import integer_column, number_column, round_half_even_2
 from ..functions.text import text_or_default, title_case
-from ..session import materialize, materialize_counted
+from ..session import materialize
 from .dedupe import keep_first
-from .rank_select import IN_MEMORY_VALUES, weighted_medians
+from .rank_select import weighted_medians
 
 # Ingest-order columns added by the file sources.
 INGEST_ORDER = ["src_time", "src_path", "src_offset", "src_row"]
@@ -97,16 +97,15 @@ def price_counts(products: DataFrame) -> DataFrame:
     return products.groupBy("category", "price").agg(F.count("*").alias("n"))
 
 
-def category_medians(counts: DataFrame, n_counts: int | None = None) -> DataFrame:
+def category_medians(counts: DataFrame) -> DataFrame:
     """``category``, ``median``; null categories and null prices take no part."""
-    return weighted_medians(counts, ["category"], "price", "n", n_counts)
+    return weighted_medians(counts, ["category"], "price", "n")
 
 
 def overall_median(
     counts: DataFrame,
     by_category: DataFrame,
     keep_price_for_null_category: bool = False,
-    n_counts: int | None = None,
 ) -> DataFrame:
     """One row ``median``: the median of the price column after the category fill.
 
@@ -119,7 +118,7 @@ def overall_median(
     unpriced = counts.filter(F.col("price").isNull()).select("category", "n")
     filled = priced.unionByName(unpriced.join(by_category, "category").select(F.col("median").alias("price"), "n"))
     filled = filled.withColumn("all_rows", F.lit(0))
-    return weighted_medians(filled, ["all_rows"], "price", "n", n_counts).select("median")
+    return weighted_medians(filled, ["all_rows"], "price", "n").select("median")
 
 
 def fill_prices(products: DataFrame, keep_price_for_null_category: bool = False) -> DataFrame:
@@ -128,15 +127,13 @@ def fill_prices(products: DataFrame, keep_price_for_null_category: bool = False)
     A row without a category comes out of the first step without a price, even a
     priced one; ``keep_price_for_null_category=True`` keeps it instead.
 
-    The counts and the medians are small tables, written first (two or three jobs).
+    The counts and the medians are small tables, written first (three jobs).
     The fill itself is then one pass over the products: the medians' file size lets
     Spark broadcast them, and if there are too many it joins by shuffle.
     """
-    counts, n = materialize_counted(price_counts(products), "price-counts")
-    by_category = category_medians(counts, n)
-    if n > IN_MEMORY_VALUES:
-        by_category = materialize(by_category, "category-medians")
-    overall = overall_median(counts, by_category, keep_price_for_null_category, n)
+    counts = materialize(price_counts(products), "price-counts")
+    by_category = materialize(category_medians(counts), "category-medians")
+    overall = overall_median(counts, by_category, keep_price_for_null_category)
     medians = materialize(
         by_category.withColumn("overall", F.lit(False)).unionByName(
             overall.select(F.lit(None).cast("string").alias("category"), "median", F.lit(True).alias("overall"))

@@ -41,29 +41,18 @@ def with_running_total(df: DataFrame, groups: Sequence[str], order_by: str, weig
     )
 
 
-# Up to this many counted values one task may hold them all (some 100 MB).
-IN_MEMORY_VALUES = 1_000_000
-
-
-def weighted_medians(
-    counted: DataFrame, groups: Sequence[str], value: str, weight: str, n_values: int | None = None
-) -> DataFrame:
+def weighted_medians(counted: DataFrame, groups: Sequence[str], value: str, weight: str) -> DataFrame:
     """Median per group of a table of (groups, value, weight).
 
-    ``n_values`` is the number of rows of ``counted`` where that is known. A small
-    table is left to Spark's ``percentile``, which keeps a group's values in memory;
-    a larger or unknown one goes through the buckets. Both are exact.
-
-    Equal values should be counted together first, at least per map-side key, so
-    that a bucket holds few rows. Returns ``groups`` and ``median``. Null values and null groups are left out.
+    Equal values of a group are counted together first, so a bucket holds every value
+    once, however often it occurs. Returns ``groups`` and ``median``. Null values and
+    null groups are left out.
     """
     groups = list(groups)
-    if n_values is not None and n_values <= IN_MEMORY_VALUES:
-        known = counted.na.drop(subset=groups + [value])
-        return known.groupBy(*groups).agg(F.percentile(F.col(value), 0.5, F.col(weight)).alias("median"))
     rows = (
         counted.na.drop(subset=groups + [value])
-        .select(*groups, F.col(value).alias("__v"), F.col(weight).alias("__w"))
+        .groupBy(*groups, F.col(value).alias("__v"))
+        .agg(F.sum(weight).alias("__w"))
         .withColumn("__bucket", value_bucket(F.col("__v")))
     )
     low = F.floor((F.col("total") + 1) / 2)

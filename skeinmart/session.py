@@ -49,10 +49,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-# One reducer's share of the input, and the most reducers a shuffle should have:
-# map tasks times reducers is the number of blocks to serve.
+# One reducer's share of the input.
 _BYTES_PER_REDUCER = 512 << 20
-_MAX_REDUCERS = 32_768
 
 
 def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
@@ -61,7 +59,7 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     AQE merges reducers that turn out small, but it cannot make more of them.
     """
     key = "spark.sql.shuffle.partitions"
-    wanted = min(_MAX_REDUCERS, -(-input_bytes // _BYTES_PER_REDUCER))
+    wanted = -(-input_bytes // _BYTES_PER_REDUCER)
     if wanted > int(spark.conf.get(key)):
         spark.conf.set(key, str(wanted))
     return int(spark.conf.get(key))

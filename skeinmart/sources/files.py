@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
 from glob import glob
+from multiprocessing.pool import ThreadPool
 
 from py4j.protocol import Py4JError
 from pyspark.errors import AnalysisException, PySparkException
@@ -60,6 +62,29 @@ def with_ingest_order(df: DataFrame) -> DataFrame:
     )
 
 
+def _by_header(spark: SparkSession, path: str, options: Mapping[str, object]) -> list[list[str]]:
+    """The files of a path in groups of one header each, so that every column is read under its own name.
+
+    Reads the first line of each file, many at a time. Fails if a header lacks all the others' names.
+    """
+    reader = spark.read.options(**options)
+    files = sorted(reader.csv(path).inputFiles())
+    if len(files) < 2:
+        return [[path]]
+    with ThreadPool(min(16, len(files))) as pool:
+        headers = pool.map(lambda f: tuple(spark.read.options(**options).csv(f).columns), files)
+    groups: dict[tuple, list[str]] = {}
+    for file, header in zip(files, headers):
+        if header:  # an empty file has none
+            groups.setdefault(header, []).append(file)
+    if not groups:
+        return [[path]]
+    for header in groups:
+        if not any(set(header) & set(other) for other in groups if other != header) and len(groups) > 1:
+            raise ValueError(f"a file of {path} has a header that shares no column with the others: {list(header)}")
+    return list(groups.values())
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -70,6 +95,7 @@ def read_csv(
     multi_line: bool = False,
     on_missing: str = "empty",
     on_error: str = "raise",
+    empty_order: bool = True,
 ) -> DataFrame:
     """CSV with a header row. Every column is text unless ``dtype_overrides`` names a type.
 
@@ -79,18 +105,26 @@ def read_csv(
     quoted fields, at the price that one file is then read by one task.
     """
 
+    # escape='"': quotes inside a quoted field are doubled. enforceSchema=False: a file whose
+    # header is not the one it is read with is an error, never a shift of its columns.
+    options = {"header": True, "escape": '"', "multiLine": multi_line, "enforceSchema": False}
+
     def read() -> DataFrame:
-        # escape='"': quotes inside a quoted field are doubled.
-        df = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line).csv(path)
+        parts = [spark.read.options(**options).csv(files) for files in _by_header(spark, path, options)]
         if ingest_order:
-            df = with_ingest_order(df)
+            parts = [with_ingest_order(df) for df in parts]
+        df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
         if null_tokens:
             df = null_tokens_to_null(df)
         for name, dtype in (dtype_overrides or {}).items():
             df = df.withColumn(name, F.col(name).cast(dtype))
         return df
 
-    return _or_empty(read, lambda: spark.createDataFrame([], schema or T.StructType([])), on_missing, on_error)
+    fields = list(schema or [])
+    if ingest_order and empty_order:
+        kinds = (T.TimestampType(), T.StringType(), T.LongType(), T.LongType())
+        fields += [T.StructField(name, kind) for name, kind in zip(INGEST_ORDER, kinds)]
+    return _or_empty(read, lambda: spark.createDataFrame([], T.StructType(fields)), on_missing, on_error)
 
 
 def read_table(
@@ -122,11 +156,16 @@ def extract_raw(
     on_missing: str = "empty",
     on_error: str = "raise",
 ) -> DataFrame:
-    """One raw table with its ingest order. The path defaults to ``<raw_dir>/<table>.csv``."""
+    """One raw table with its ingest order. The path defaults to ``<raw_dir>/<table>.csv``.
+
+    A missing table is empty. Missing orders come without an ingest order, so that
+    cleaning them is an error and no run ends with an empty fact.
+    """
     name = (files or {}).get(table, f"{table}.csv")
     return read_csv(
-        spark, f"{raw_dir}/{name}", RAW_SCHEMAS[table], ingest_order=True, on_missing=on_missing, on_error=on_error
-    )
+        spark, f"{raw_dir}/{name}", RAW_SCHEMAS[table], ingest_order=True, on_missing=on_missing, on_error=on_error,
+        empty_order=table != "orders",
+    )
 
 
 def extract_orders(spark: SparkSession, raw_dir: str, **options) -> DataFrame:

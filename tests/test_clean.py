@@ -158,12 +158,12 @@ def test_median_sees_duplicates_and_untrimmed_categories(spark):
     assert got == {1: 1.0, 2: 9.0, 3: 1.0, 4: 100.0, 5: 100.0}
 
 
-def test_price_fill_is_the_same_for_large_tables(spark, monkeypatch):
-    rows = [(f"c{i % 3}" if i % 7 else None, str(i * 1.37) if i % 5 else None) for i in range(80)]
-    small = prices(spark, rows)
-    monkeypatch.setattr(clean, "IN_MEMORY_VALUES", 0)
-    monkeypatch.setattr("skeinmart.operators.rank_select.IN_MEMORY_VALUES", 0)
-    assert prices(spark, rows) == small
+def test_equal_prices_of_many_categories_are_one_value(spark):
+    counts = spark.range(20000).selectExpr("concat('c', id) AS category", "9.99D AS price", "1L AS n")
+    overall = clean.overall_median(counts, clean.category_medians(counts))
+    assert overall.first()["median"] == 9.99
+    windowed = overall._jdf.queryExecution().optimizedPlan().toString()
+    assert windowed.count("Aggregate [all_rows") >= 2  # by value, then by bucket
 
 
 def test_no_price_anywhere(spark):

@@ -104,8 +104,8 @@ def test_size_shuffles_only_raises(spark):
     try:
         assert size_shuffles(spark, 1000) == int(before)
         assert size_shuffles(spark, 40 << 30) == 80
-        assert size_shuffles(spark, 100 << 40) == 32_768
-        assert size_shuffles(spark, 1000) == 32_768
+        assert size_shuffles(spark, 100 << 40) == 204_800
+        assert size_shuffles(spark, 1000) == 204_800
     finally:
         spark.conf.set(key, before)
 

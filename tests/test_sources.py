@@ -211,3 +211,21 @@ def test_nested_report_file(spark, tmp_path):
     assert H.rows(artifacts.read_nested_report(spark, path)) == [
         ("t", "a", True, "", False, 50.0), ("t", "b", False, "m", False, 50.0),
     ]
+
+
+def test_files_of_a_folder_keep_their_own_headers(spark, tmp_path):
+    folder = tmp_path / "products.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("product_id,product_name,price,supplier\n1,x,2.5,acme\n")
+    (folder / "b.csv").write_text("price,product_id,product_name\n" + "7.5,2,y\n" * 50)
+    rows = files.extract_raw(spark, str(tmp_path), "products").select("product_id", "product_name", "price", "supplier").distinct().collect()
+    assert sorted(map(tuple, rows), key=str) == [("1", "x", "2.5", "acme"), ("2", "y", "7.5", None)]
+    (folder / "c.csv").write_text("foo,bar\n1,2\n")
+    with pytest.raises(ValueError, match="shares no column"):
+        files.extract_raw(spark, str(tmp_path), "products")
+
+
+def test_a_missing_table_has_the_ingest_order(spark, tmp_path):
+    from skeinmart.operators import clean
+
+    assert clean.clean_customers(files.extract_raw(spark, str(tmp_path), "customers")).count() == 0
