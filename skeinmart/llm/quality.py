@@ -122,11 +122,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
                 for label, i, x in zip(*(batch.column(k).to_pylist() for k in ("label", "i", "x"))):
                     model.learn(np.frombuffer(i, "<i4"), np.frombuffer(x, "<f4").astype(np.float64), label)
                 n += batch.num_rows
+            if not n:  # a task without a shard has nothing to send
+                return
             w = model.weights(slice(None)).astype("<f4").tobytes()
             yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([w], pa.binary())], ["n", "w"])
 
         sharded = sample.repartition(SHARDS, "shard").sortWithinPartitions("h", "label").select("label", "i", "x")
-        parts = [r for r in sharded.mapInArrow(train, "n long, w binary").collect() if r.n]  # at most SHARDS rows
+        parts = sharded.mapInArrow(train, "n long, w binary").collect()  # at most SHARDS rows
         if parts:
             total = sum(r.n for r in parts)
             mean = sum(np.frombuffer(bytes(r.w), "<f4") * np.float32(r.n / total) for r in parts)
