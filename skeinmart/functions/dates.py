@@ -2,19 +2,33 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ISO_DATE = "yyyy-MM-dd"
+ISO_DATE_TIME = "yyyy-MM-dd HH:mm:ss"  # or a T between, without seconds, with a fraction or a zone
+ISO_FORMATS = (ISO_DATE, ISO_DATE_TIME)
+_WITH_TIME = r"\A.{10}[ T]([01][0-9]|2[0-3]):[0-5][0-9](:[0-5][0-9](\.[0-9]+)?)?(Z|[+-][0-9]{2}:?[0-9]{2})?\z"
+
 
+def date_column(df: DataFrame, name: str, formats: str | Sequence[str] = ISO_DATE) -> Column:
+    """A column as DATE by the first of the formats that reads it; other text becomes null.
 
-def date_column(df: DataFrame, name: str, fmt: str = ISO_DATE) -> Column:
-    """A column as DATE in one fixed format; other text becomes null."""
+    Of a date with a time the date counts as written, whatever its zone.
+    """
     c = F.col(name)
     if isinstance(df.schema[name].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return c.cast("date")
     text = c.cast("string")
+    return F.coalesce(*(_read(text, fmt) for fmt in ([formats] if isinstance(formats, str) else formats)))
+
+
+def _read(text: Column, fmt: str) -> Column:
+    if fmt == ISO_DATE_TIME:
+        return F.when(F.rlike(text, F.lit(_WITH_TIME)), _read(F.left(text, F.lit(10)), ISO_DATE))
     if fmt == ISO_DATE:
         # The plain cast is the fast parser, but it takes other spellings too:
         # a date that prints as it was written is in this format.

@@ -41,7 +41,9 @@ def _empty(df: DataFrame, schema) -> DataFrame:
 # --- orders ------------------------------------------------------------------
 
 
-def typed_orders(df: DataFrame, extra: dict[str, Column] | None = None, date_format: str = ISO_DATE) -> DataFrame:
+def typed_orders(
+    df: DataFrame, extra: dict[str, Column] | None = None, date_format: str | Sequence[str] = ISO_DATE
+) -> DataFrame:
     """Orders with typed columns; what cannot be read is null."""
     missing = [c for c in S.MANDATORY_ORDER_COLUMNS if c not in df.columns]
     if missing:
@@ -54,7 +56,9 @@ def typed_orders(df: DataFrame, extra: dict[str, Column] | None = None, date_for
     )
 
 
-def clean_orders(df: DataFrame, order_by: Sequence[str] | None = None, date_format: str = ISO_DATE) -> DataFrame:
+def clean_orders(
+    df: DataFrame, order_by: Sequence[str] | None = None, date_format: str | Sequence[str] = ISO_DATE
+) -> DataFrame:
     """Drop rows without readable keys, quantity or date, then keep the first row per order."""
     seq = _order_columns(df, order_by)
     valid = typed_orders(df, seq, date_format).filter(_all_present(S.MANDATORY_ORDER_COLUMNS))
@@ -64,7 +68,9 @@ def clean_orders(df: DataFrame, order_by: Sequence[str] | None = None, date_form
 # --- customers ---------------------------------------------------------------
 
 
-def clean_customers(df: DataFrame, order_by: Sequence[str] | None = None, date_format: str = ISO_DATE) -> DataFrame:
+def clean_customers(
+    df: DataFrame, order_by: Sequence[str] | None = None, date_format: str | Sequence[str] = ISO_DATE
+) -> DataFrame:
     """Defaults and text normalisation per column, first row per customer."""
     if "customer_id" not in df.columns:
         return _empty(df, S.CLEAN_CUSTOMERS)
@@ -121,7 +127,9 @@ def overall_median(
     return weighted_medians(filled, ["all_rows"], "price", "n").select("median")
 
 
-def fill_prices(products: DataFrame, keep_price_for_null_category: bool = False) -> DataFrame:
+def fill_prices(
+    products: DataFrame, keep_price_for_null_category: bool = False, counts: DataFrame | None = None
+) -> DataFrame:
     """Fill null prices with the median of the raw category, then with the overall median; round to 2.
 
     A row without a category comes out of the first step without a price, even a
@@ -129,9 +137,11 @@ def fill_prices(products: DataFrame, keep_price_for_null_category: bool = False)
 
     The counts and the medians are small tables, written first (three jobs).
     The fill itself is then one pass over the products: the medians' file size lets
-    Spark broadcast them, and if there are too many it joins by shuffle.
+    Spark broadcast them, and if there are too many it joins by shuffle. ``counts``:
+    :func:`price_counts` of these products, if they are at hand.
     """
-    counts = materialize(price_counts(products), "price-counts")
+    if counts is None:
+        counts = materialize(price_counts(products), "price-counts")
     by_category = materialize(category_medians(counts), "category-medians")
     overall = overall_median(counts, by_category, keep_price_for_null_category)
     medians = materialize(
@@ -187,7 +197,7 @@ def clean_products(
 # --- metric ------------------------------------------------------------------
 
 
-def rows_removed(raw: dict[str, DataFrame], date_format: str = ISO_DATE) -> DataFrame:
+def rows_removed(raw: dict[str, DataFrame], date_format: str | Sequence[str] = ISO_DATE) -> DataFrame:
     """Rows in, kept and removed per table, each in one pass.
 
     Keep-first leaves one row per valid key, so the rows kept are the distinct

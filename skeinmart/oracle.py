@@ -7,6 +7,7 @@ DECIMAL; see ``half_up`` for SQL rounding and ``round_even`` for dataframe round
 
 from __future__ import annotations
 
+from .plans.appended import STATEMENTS
 from .schemas import CATEGORIES, DEFAULT_CATEGORY, ORDER_STATUSES
 from .sources.testbed import RAW_SQL, SOURCE_TABLES
 
@@ -282,6 +283,7 @@ def statements(given_star: bool = False) -> dict[str, str]:
             "FROM raw_products"
         ),
         "clean_orders": _cleaned("SELECT * FROM clean_orders"),
+        "clean_orders_datetimes": _cleaned("SELECT * FROM clean_orders"),
         "clean_customers": _cleaned("SELECT * FROM clean_customers"),
         "clean_products": _cleaned("SELECT * FROM clean_products"),
         "clean_rows_removed": _cleaned(_union([
@@ -446,6 +448,15 @@ def statements(given_star: bool = False) -> dict[str, str]:
         "load_verify_incremental": _star(
             f"SELECT table_name, 2 * row_count AS loaded_rows, row_count AS expected_rows, false AS matches FROM ({_STAR_COUNTS})"
         ),
+        **{
+            name: _star(f"SELECT * FROM ({text.format(**{t: f'(SELECT * FROM {t} UNION ALL SELECT * FROM {t})' for t in _PK})})")
+            for name, text in STATEMENTS.items()
+        },
+        "pipeline_run": _star(
+            "SELECT mode, step, table_name, CASE WHEN mode = 'incremental' AND step = 'load' THEN 2 ELSE 1 END * row_count "
+            f"AS row_count FROM ({_STAR_COUNTS}), (VALUES ('full'), ('incremental')) AS m(mode), "
+            "(VALUES ('transform'), ('load')) AS s(step)"
+        ),
         "log_level_filter": (
             "SELECT concat('[', CASE event_type WHEN 'error' THEN 'ERROR' ELSE 'WARNING' END, '] event ', "
             "CAST(event_id AS VARCHAR), ' of user ', CAST(user_id AS VARCHAR)) AS value "

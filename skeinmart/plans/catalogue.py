@@ -7,13 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dates import ISO_FORMATS
 from ..functions.text import null_tokens_to_null
 from ..operators import clean, inject, mapping, quality, star
 from ..operators.counts import row_counts, with_total
 from ..operators.dedupe import keep_first
-from ..session import fresh_dir, prepare
+from ..session import fresh_dir, materialize, prepare
 from ..sources import artifacts, testbed, warehouse
-from . import analytics, marts
+from . import analytics, marts, pipeline
+from .appended import STATEMENTS
 from .snapshot import raw_tables, star_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +28,15 @@ def _clean_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.clean_orders(raw_tables(spark, sf_dir)["orders"], testbed.ORDER_BY["orders"])
 
 
+def clean_orders_datetimes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the orders give their date with a time."""
+    orders = raw_tables(spark, sf_dir)["orders"]
+    timed = F.concat("order_date", F.lit(" 10:30:00"))
+    even = F.col("order_id").cast("bigint") % 2 == 0
+    orders = orders.withColumn("order_date", F.when(even, timed).otherwise(F.col("order_date")))
+    return clean.clean_orders(orders, testbed.ORDER_BY["orders"], ISO_FORMATS)
+
+
 def _clean_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.clean_customers(raw_tables(spark, sf_dir)["customers"], testbed.ORDER_BY["customers"])
 
@@ -65,13 +76,15 @@ def price_fill_null_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prices after the fill and before the dedupe, for both treatments of rows without a category."""
     products = clean.typed_products(raw_tables(spark, sf_dir)["products"], {"seq": F.col("seq")})
     cols = ["product_id", "seq", "category", "price"]
-    lost = clean.fill_prices(products).select(*cols, F.lit("lost").alias("own_price"))
-    kept = clean.fill_prices(products, True).select(*cols, F.lit("kept").alias("own_price"))
+    counts = materialize(clean.price_counts(products), "price-counts")
+    lost = clean.fill_prices(products, counts=counts).select(*cols, F.lit("lost").alias("own_price"))
+    kept = clean.fill_prices(products, True, counts).select(*cols, F.lit("kept").alias("own_price"))
     return lost.unionByName(kept)
 
 
 def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.build_dim_date(_clean_orders(spark, sf_dir))
+    """As in the pipeline: from one column of the written fact."""
+    return star.build_dim_date_from_fact(star_tables(spark, sf_dir)["fact_orders"])
 
 
 def fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,6 +202,31 @@ def _load_verify(modes: list[str]) -> Query:
     return query
 
 
+def _on_appended(statement: str) -> Query:
+    """SQL over a warehouse that was loaded in full and then appended to."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tables = star_tables(spark, sf_dir)
+        place = fresh_dir(spark, "warehouse")
+        for mode in ("full", "incremental"):
+            loaded = warehouse.load_all(tables, "path", mode, warehouse=place)
+        return spark.sql(statement, **loaded)
+
+    return query
+
+
+def pipeline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full and an incremental run over the raw tables; the row counts of the steps, from their manifests."""
+    raw, place = raw_tables(spark, sf_dir), fresh_dir(spark, "run")
+    zones = pipeline.Zones(f"{place}/raw", f"{place}/star", f"{place}/validated", f"{place}/manifests")
+    for mode in ("full", "incremental"):
+        pipeline.run_pipeline(
+            spark, zones, raw, testbed.ORDER_BY, "path", mode, load_options={"warehouse": f"{place}/warehouse"}
+        )
+    steps = artifacts.manifest_steps(artifacts.read_manifests(spark, zones.manifests))
+    return steps.select("mode", "step", F.explode("row_counts").alias("table_name", "row_count"))
+
+
 # --- artifacts ------------------------------------------------------------------
 
 
@@ -294,6 +332,7 @@ def registry() -> dict[str, Query]:
         "extract_row_counts": extract_row_counts,
         "null_tokens": null_tokens,
         "clean_orders": _clean_orders,
+        "clean_orders_datetimes": clean_orders_datetimes,
         "clean_customers": _clean_customers,
         "clean_products": _clean_products,
         "clean_rows_removed": lambda s, d: clean.rows_removed(raw_tables(s, d)),
@@ -323,6 +362,8 @@ def registry() -> dict[str, Query]:
         "column_mapping": column_mapping,
         "load_verify_full": _load_verify(["full", "full"]),
         "load_verify_incremental": _load_verify(["full", "incremental"]),
+        **{name: _on_appended(text) for name, text in STATEMENTS.items()},
+        "pipeline_run": pipeline_run,
         "log_level_filter": log_level_filter,
         "run_manifest_steps": run_manifest_steps,
         "quality_report_flatten": quality_report_flatten,

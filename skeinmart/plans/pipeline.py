@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 import time
 import traceback
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
@@ -14,6 +14,7 @@ from typing import Any
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dates import ISO_FORMATS
 from ..operators import clean, star
 from ..operators.counts import row_counts
 from ..operators.quality import gate, validate_star
@@ -38,6 +39,24 @@ class Zones:
     manifests: str | None = None
 
 
+@dataclass(frozen=True)
+class Cleaning:
+    """How raw text is read: the accepted date formats per table, and the price of products without a category."""
+
+    order_dates: str | Sequence[str] = ISO_FORMATS
+    signup_dates: str | Sequence[str] = ISO_FORMATS
+    keep_price_for_null_category: bool = False
+
+    def orders(self, raw: Mapping[str, DataFrame], by: OrderBy) -> DataFrame:
+        return clean.clean_orders(raw["orders"], by.get("orders"), self.order_dates)
+
+    def customers(self, raw: Mapping[str, DataFrame], by: OrderBy) -> DataFrame:
+        return clean.clean_customers(raw["customers"], by.get("customers"), self.signup_dates)
+
+    def products(self, raw: Mapping[str, DataFrame], by: OrderBy) -> DataFrame:
+        return clean.clean_products(raw["products"], by.get("products"), self.keep_price_for_null_category)
+
+
 @dataclass
 class RunResult:
     status: str
@@ -50,18 +69,22 @@ class RunResult:
 # --- transform ------------------------------------------------------------------
 
 
-def clean_tables(raw: Mapping[str, DataFrame], order_by: OrderBy | None = None) -> dict[str, DataFrame]:
+def clean_tables(
+    raw: Mapping[str, DataFrame], order_by: OrderBy | None = None, cleaning: Cleaning = Cleaning()
+) -> dict[str, DataFrame]:
     by = order_by or {}
     return {
-        "orders": clean.clean_orders(raw["orders"], by.get("orders")),
-        "customers": clean.clean_customers(raw["customers"], by.get("customers")),
-        "products": clean.clean_products(raw["products"], by.get("products")),
+        "orders": cleaning.orders(raw, by),
+        "customers": cleaning.customers(raw, by),
+        "products": cleaning.products(raw, by),
     }
 
 
-def transform_all(raw: Mapping[str, DataFrame], order_by: OrderBy | None = None) -> dict[str, DataFrame]:
+def transform_all(
+    raw: Mapping[str, DataFrame], order_by: OrderBy | None = None, cleaning: Cleaning = Cleaning()
+) -> dict[str, DataFrame]:
     """The star tables as lazy frames."""
-    cleaned = clean_tables(raw, order_by)
+    cleaned = clean_tables(raw, order_by, cleaning)
     return {
         "dim_date": star.build_dim_date(cleaned["orders"]),
         "dim_customers": star.build_dim_customers(cleaned["customers"]),
@@ -78,7 +101,12 @@ def _write_counted(df: DataFrame, path: str, fmt: str) -> int:
 
 
 def transform_to_zone(
-    spark: SparkSession, raw: Mapping[str, DataFrame], zone: str, order_by: OrderBy | None = None, fmt: str = "parquet"
+    spark: SparkSession,
+    raw: Mapping[str, DataFrame],
+    zone: str,
+    order_by: OrderBy | None = None,
+    fmt: str = "parquet",
+    cleaning: Cleaning = Cleaning(),
 ) -> dict[str, int]:
     """Write the star tables; returns rows per table.
 
@@ -91,11 +119,11 @@ def transform_to_zone(
     counts: dict[str, int] = {}
 
     def customers() -> int:
-        df = clean.clean_customers(raw["customers"], by.get("customers"))
+        df = cleaning.customers(raw, by)
         return _write_counted(star.build_dim_customers(df), f"{zone}/dim_customers", fmt)
 
     def products() -> int:
-        df = clean.clean_products(raw["products"], by.get("products"))
+        df = cleaning.products(raw, by)
         return _write_counted(star.build_dim_products(df), f"{zone}/dim_products", fmt)
 
     with ThreadPoolExecutor(max_workers=2) as pool:
@@ -105,8 +133,7 @@ def transform_to_zone(
     def stored(name: str) -> DataFrame:
         return read_star_table(spark, zone, name, fmt)
 
-    orders = clean.clean_orders(raw["orders"], by.get("orders"))
-    fact = star.build_fact_orders(orders, stored("dim_products"))
+    fact = star.build_fact_orders(cleaning.orders(raw, by), stored("dim_products"))
     counts["fact_orders"] = _write_counted(fact, f"{zone}/fact_orders", fmt)
     dates = star.build_dim_date_from_fact(stored("fact_orders"))
     counts["dim_date"] = _write_counted(dates, f"{zone}/dim_date", fmt)
@@ -119,8 +146,11 @@ def transform_to_zone(
 
 def stage_extract(spark: SparkSession, zones: Zones, **options) -> dict[str, int]:
     """Rows per raw table."""
-    rows = row_counts(extract_all(spark, zones.raw, **options)).collect()  # three rows
-    return {r["table_name"]: r["row_count"] for r in rows}
+    return _counted(extract_all(spark, zones.raw, **options))
+
+
+def _counted(tables: Mapping[str, DataFrame]) -> dict[str, int]:
+    return {r["table_name"]: r["row_count"] for r in row_counts(tables).collect()}  # one row per table
 
 
 def stage_transform(
@@ -129,8 +159,9 @@ def stage_transform(
     raw: Mapping[str, DataFrame] | None = None,
     order_by: OrderBy | None = None,
     fmt: str = "parquet",
+    cleaning: Cleaning = Cleaning(),
 ) -> dict[str, int]:
-    return transform_to_zone(spark, raw or extract_all(spark, zones.raw), zones.transformed, order_by, fmt)
+    return transform_to_zone(spark, raw or extract_all(spark, zones.raw), zones.transformed, order_by, fmt, cleaning)
 
 
 def stage_validate(spark: SparkSession, zones: Zones, gate_mode: str = "fail", fmt: str = "parquet") -> int:
@@ -164,9 +195,13 @@ def run_pipeline(
     gate_mode: str = "warn",
     env: str = "development",
     load_options: Mapping[str, Any] | None = None,
+    cleaning: Cleaning = Cleaning(),
 ) -> RunResult:
     """Extract, transform, validate, load; every step is timed and noted in a manifest.
 
+    The load step notes the rows that the warehouse then holds. After a full load they
+    must be those of the transform, otherwise the run fails.
+
     ``gate_mode``: ``warn`` goes on after failed checks, ``fail`` stops, ``off``
     ignores them. An error is written to the manifest and raised again.
     """
@@ -191,14 +226,17 @@ def run_pipeline(
             size_shuffles(spark, files_state(spark, [zones.raw]).size)
 
     def transform() -> dict[str, int]:
-        return transform_to_zone(spark, raw, zones.transformed, order_by)
+        return transform_to_zone(spark, raw, zones.transformed, order_by, cleaning=cleaning)
 
     def validate() -> None:
         result.failed_checks = stage_validate(spark, zones, gate_mode)
 
     def load() -> dict[str, int]:
-        stage_load(spark, zones, target, mode, **(load_options or {}))
-        return result.steps["transform"]["row_counts"]
+        loaded = _counted(stage_load(spark, zones, target, mode, **(load_options or {})))
+        expected = result.steps["transform"]["row_counts"]
+        if mode == "full" and loaded != expected:
+            raise ValueError(f"the warehouse holds {loaded} rows after a full load of {expected}")
+        return loaded
 
     trace = None
     try:

@@ -7,6 +7,7 @@ import pytest
 
 import helpers as H
 from skeinmart.functions.text import null_tokens_to_null, strip, title_case
+from skeinmart.functions.dates import ISO_FORMATS
 from skeinmart.operators import clean
 from skeinmart.operators.dedupe import keep_first
 from pyspark.sql import functions as F
@@ -93,6 +94,22 @@ def test_only_iso_dates(spark, text, ok):
     assert clean.clean_orders(raw, SEQ).count() == int(ok)
 
 
+@pytest.mark.parametrize("text,ok", [
+    ("2024-02-29", True), ("2024-02-29 10:30:00", True), ("2024-02-29T10:30", True), ("2024-02-29 10:30:00.123+02:00", True),
+    ("2024-02-30 10:30:00", False), ("2024-02-29 25:00:00", False), ("2024-02-29 10:30:00\n", False), ("2024-02-29 x", False),
+])
+def test_dates_with_times(spark, text, ok):
+    raw = H.orders(spark, [("1", "1", "1", "1", text, None)])
+    got = [r["order_date"] for r in clean.clean_orders(raw, SEQ, date_format=ISO_FORMATS).collect()]
+    assert got == [date(2024, 2, 29)] * ok
+
+
+def test_first_format_that_reads(spark):
+    raw = H.orders(spark, [("1", "1", "1", "1", "05/01/2024", None), ("2", "1", "1", "1", "2024-01-05", None)])
+    got = clean.clean_orders(raw, SEQ, date_format=["dd/MM/yyyy", "MM/dd/yyyy", "yyyy-MM-dd"]).collect()
+    assert {r["order_date"] for r in got} == {date(2024, 1, 5)} and len(got) == 2
+
+
 def test_date_format_option(spark):
     raw = H.orders(spark, [("1", "1", "1", "1", "20/01/2024", None)])
     assert clean.clean_orders(raw, SEQ, date_format="dd/MM/yyyy").first()["order_date"] == date(2024, 1, 20)

@@ -71,6 +71,7 @@ def test_gate_off_and_incremental(spark, zones, tmp_path):
         )
         assert result.failed_checks == 0
     assert files.read_star(spark, f"{tmp_path}/dwh")["fact_orders"].count() == 6
+    assert result.steps["load"]["row_counts"] == {t: 2 * n for t, n in WANT.items()}
     assert artifacts.read_manifests(spark, zones.manifests).count() == 2
 
 
@@ -89,3 +90,22 @@ def test_zone_equals_lazy_transform(spark, zones):
     stored = files.read_star(spark, zones.transformed)
     for name, df in pipeline.transform_all(raw).items():
         assert H.rows(stored[name]) == H.rows(df), name
+
+
+def test_order_dates_in_other_forms(spark, zones, tmp_path):
+    path = f"{zones.raw}/orders.csv"
+    text = open(path).read()
+
+    def facts(rewritten, **options):
+        with open(path, "w") as f:
+            f.write(rewritten)
+        pipeline.run_pipeline(
+            spark, zones, target="path", gate_mode="off", load_options={"warehouse": f"{tmp_path}/dwh"}, **options
+        )
+        return H.rows(files.read_star(spark, f"{tmp_path}/dwh")["fact_orders"])
+
+    plain = facts(text)
+    assert len(plain) == 3
+    assert facts(text.replace("2024-01-15", "2024-01-15 10:30:00")) == plain
+    slashed = text.replace("2024-01-15", "15/01/2024").replace("2024-02-20", "20/02/2024")
+    assert facts(slashed, cleaning=pipeline.Cleaning(order_dates="dd/MM/yyyy")) == plain
