@@ -30,6 +30,7 @@ LENGTH = 400
 GRAM = 64
 # k-grams with more different contexts than this are settled by window hashes alone.
 HOT_CONTEXTS = 4096
+HEAVY = 1000
 # Bytes worked on at a time. The place in a slice shares a word with the hash.
 SLICE_BYTES = 2 << 20
 PLACE_BITS = 22
@@ -294,10 +295,13 @@ def repeated_spans(
     mixed_rows = shared.where("NOT one")
     where = F.struct("k_id", "k_text", "pos", "left", "right")
     contexts = mixed_rows.groupBy("gram", "context").agg(F.count("*").alias("n"), F.min(where).alias("at"))
-    contexts = materialize(contexts.select("gram", "context", (F.col("n") > 1).alias("settled"), "at.*"), "contexts")
-    settled = shared.where("one").unionByName(
-        mixed_rows.join(contexts.where("settled").select("gram", "context"), ["gram", "context"], "left_semi")
-    )
+    contexts = materialize(contexts.select("gram", "context", "n", (F.col("n") > 1).alias("settled"), "at.*"), "contexts")
+    # Pairs that more than 1/HEAVY of the rows have are fewer than HEAVY: their rows need no shuffle.
+    pair, total = ["gram", "context"], contexts.agg(F.sum("n")).scalar()
+    repeated = contexts.where("settled").withColumn("heavy", F.col("n") * HEAVY > total)
+    heavy = F.broadcast(repeated.where("heavy").select(*pair))
+    rest = mixed_rows.join(heavy, pair, "left_anti").join(repeated.where("NOT heavy").select(*pair), pair, "left_semi")
+    settled = shared.where("one").unionByName(mixed_rows.join(heavy, pair, "left_semi")).unionByName(rest)
     settled = settled.select("k_id", "k_text", (F.col("pos") - F.col("left")).alias("start"), (F.col("pos") + F.col("right")).alias("stop"))
 
     sizes = contexts.groupBy("gram").agg((F.count("*") > hot).alias("hot"))
