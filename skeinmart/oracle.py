@@ -277,6 +277,19 @@ def statements(given_star: bool = False) -> dict[str, str]:
         "extract_row_counts": _raw(
             f"SELECT * FROM ({_RAW_COUNTS}) UNION ALL SELECT 'total', CAST(sum(row_count) AS BIGINT) FROM ({_RAW_COUNTS})"
         ),
+        "extract_csv_orders": _cleaned("SELECT * FROM clean_orders"),
+        "extract_csv_customers": _cleaned(
+            "SELECT customer_id, name, email, location, CASE WHEN customer_id % 2 = 0 THEN DATE '2020-01-15' END "
+            "AS signup_date FROM clean_customers"
+        ),
+        "extract_csv_products": _cleaned(
+            "SELECT product_id, product_name, category, price, CASE WHEN product_id % 2 = 0 THEN supplier ELSE 'Unknown' END "
+            "AS supplier FROM clean_products"
+        ),
+        "upload_append": _raw(
+            "SELECT CASE WHEN CAST(product_id AS BIGINT) % 2 = 0 THEN supplier END AS supplier, count(*) AS rows, "
+            "count(DISTINCT product_id) AS products FROM raw_products GROUP BY ALL"
+        ),
         "null_tokens": _raw(
             "SELECT product_id, seq, CASE WHEN CAST(product_id AS BIGINT) % 7 < 2 THEN NULL ELSE product_name END "
             "AS product_name, CASE WHEN CAST(product_id AS BIGINT) % 5 < 2 THEN NULL ELSE supplier END AS supplier "
@@ -431,6 +444,16 @@ def statements(given_star: bool = False) -> dict[str, str]:
             "concat(CAST(a AS VARCHAR), ' source rows, ', CAST(b AS VARCHAR), ' target rows') AS details FROM "
             "(SELECT (SELECT count(*) FROM raw_orders) AS a, (SELECT count(*) FROM fact_orders) AS b)"
         ),
+        "schema_check": (
+            "SELECT 'schema' AS \"check\", t AS \"table\", ok AS passed, d AS details FROM (VALUES "
+            + ", ".join(f"('{t}', true, 'Types as declared')" for t in _PK)
+            + ", ('dim_products', false, 'differing columns: price, product_id, seq')) AS v(t, ok, d)"
+        ),
+        "gate_outcomes": _star(
+            "SELECT mode, CASE mode WHEN 'off' THEN 0 WHEN 'warn' THEN n WHEN 'fail' THEN CASE WHEN n = 0 THEN 0 END END AS reported, "
+            f"mode = 'fail' AND n > 0 AS stopped, n AS failed_checks FROM (SELECT count(*) FILTER (WHERE NOT passed) AS n FROM ({_SUITE})), "
+            "(VALUES ('off'), ('warn'), ('fail')) AS m(mode)"
+        ),
         "inject_nulls": _raw(
             f"SELECT order_id, product_id, order_date, s1, s2, s3, "
             f"{_nulled(['customer_id', 'quantity', 'status'], _ORDER_RID, 'raw_orders', '0.02')} FROM raw_orders"
@@ -470,6 +493,7 @@ def statements(given_star: bool = False) -> dict[str, str]:
             "FROM fact_orders GROUP BY run), "
             "(VALUES ('transform', 'fact_orders'), ('load', 'fact_orders'), ('load', 'cancelled')) AS s(step, table_name)"
         ),
+        "report_round_trip": _star(f"SELECT s.*, fmt FROM ({_SUITE}) AS s, (VALUES ('parquet'), ('csv')) AS f(fmt)"),
         "quality_report_flatten": _star(
             'SELECT "table", "check", passed AS success, details AS message, '
             'bool_and(passed) OVER (PARTITION BY "table") AS table_success, '

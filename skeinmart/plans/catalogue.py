@@ -12,8 +12,9 @@ from ..functions.text import null_tokens_to_null
 from ..operators import clean, inject, mapping, quality, star
 from ..operators.counts import row_counts, with_total
 from ..operators.dedupe import keep_first
+from ..schemas import RAW_COLUMNS
 from ..session import fresh_dir, materialize, prepare
-from ..sources import artifacts, testbed, warehouse
+from ..sources import artifacts, files, testbed, warehouse
 from . import analytics, marts, pipeline
 from .appended import STATEMENTS
 from .snapshot import raw_tables, star_tables
@@ -45,6 +46,68 @@ def _clean_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.clean_products(raw_tables(spark, sf_dir)["products"], testbed.ORDER_BY["products"])
 
 
+def _through_csv(spark: SparkSession, table: str, parts: list[DataFrame]) -> DataFrame:
+    """A raw table written as CSV, one folder for each part in this order, and extracted again."""
+    place = fresh_dir(spark, "csv")
+    for i, part in enumerate(parts):
+        warehouse.write_table(part, f"{place}/{table}/{i}", fmt="csv")
+    return files.extract_raw(spark, place, table, files={table: f"{table}/*"})
+
+
+def _is_even(key: str) -> Column:
+    return F.col(key).cast("bigint") % 2 == 0
+
+
+def extract_csv_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders from CSV files of two column orders, cleaned by the order of their lines."""
+    orders = raw_tables(spark, sf_dir)["orders"]
+    columns = RAW_COLUMNS["orders"]
+
+    def lines(part: DataFrame) -> DataFrame:
+        return part.repartitionByRange("order_id").sortWithinPartitions("order_id", *testbed.ORDER_BY["orders"])
+
+    odd, even = lines(orders.where(~_is_even("order_id"))), lines(orders.where(_is_even("order_id")))
+    return clean.clean_orders(_through_csv(spark, "orders", [odd.select(columns), even.select(columns[::-1])]))
+
+
+def extract_csv_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers from CSV files with and without signup_date; repeated customers come in a later file."""
+    customers = raw_tables(spark, sf_dir)["customers"]
+    plain = ["customer_id", "name", "email", "location"]
+    dated = customers.withColumn("signup_date", F.lit("2020-01-15"))
+    first, later = F.col("seq") % 2 == 0, F.col("seq") % 2 == 1
+    parts = [
+        dated.where(first & _is_even("customer_id")).select("signup_date", *plain[::-1]),
+        customers.where(first & ~_is_even("customer_id")).select(plain),
+        customers.where(later).select(plain[::-1]),
+    ]
+    return clean.clean_customers(_through_csv(spark, "customers", parts))
+
+
+def extract_csv_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products from CSV files with and without supplier; repeated products come in a later file."""
+    products = raw_tables(spark, sf_dir)["products"]
+    columns = RAW_COLUMNS["products"]
+    first, later = F.col("seq") % 2 == 0, F.col("seq") % 2 == 1
+    parts = [
+        products.where(first & _is_even("product_id")).select(columns[::-1]),
+        products.where(first & ~_is_even("product_id")).select(columns[:-1]),
+        products.where(later).select(columns),
+    ]
+    return clean.clean_products(_through_csv(spark, "products", parts))
+
+
+def upload_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A saved upload of products and one appended without suppliers, as rows and products per supplier."""
+    products = raw_tables(spark, sf_dir)["products"]
+    columns = RAW_COLUMNS["products"]
+    place = fresh_dir(spark, "uploads")
+    warehouse.save_upload(products.where(_is_even("product_id")).select(columns), f"{place}/products.csv")
+    warehouse.save_upload(products.where(~_is_even("product_id")).select(columns[:-1][::-1]), f"{place}/products.csv", "append")
+    raw = files.extract_products(spark, place)
+    return raw.groupBy("supplier").agg(F.count("*").alias("rows"), F.countDistinct("product_id").alias("products"))
+
+
 def extract_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_total(row_counts(raw_tables(spark, sf_dir)))
 
@@ -188,6 +251,27 @@ def _one_kind(kind: str) -> Query:
     return query
 
 
+def schema_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The written star against its contract, and the raw products, whose columns differ from it."""
+    tables = star_tables(spark, sf_dir)
+    report = _per_table(quality.check_schema, tables)
+    return report.unionByName(quality.check_schema(raw_tables(spark, sf_dir)["products"], "dim_products"))
+
+
+def gate_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each mode of the gate makes of the star's report, beside the number of failed checks in it."""
+    report = materialize(quality.validate_star(star_tables(spark, sf_dir)), "report")
+    seen = []
+    for mode in ("off", "warn", "fail"):
+        try:
+            seen.append((mode, quality.gate(report, mode), False))
+        except quality.QualityError:
+            seen.append((mode, None, True))
+    outcome = spark.createDataFrame(seen, "mode string, reported long, stopped boolean")
+    failed = report.agg(F.count_if(~F.col("passed")).alias("failed_checks"))
+    return outcome.withColumn("failed_checks", failed.scalar())
+
+
 # --- load -----------------------------------------------------------------------
 
 
@@ -274,6 +358,17 @@ def run_manifest_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def report_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality report stored in two formats and read back."""
+    report = quality.validate_star(star_tables(spark, sf_dir))
+    place = fresh_dir(spark, "reports")
+    read = []
+    for fmt in ("parquet", "csv"):
+        artifacts.write_report(report, f"{place}/{fmt}", fmt)
+        read.append(artifacts.read_report(spark, f"{place}/{fmt}", fmt).withColumn("fmt", F.lit(fmt)))
+    return read[0].unionByName(read[1])
+
+
 def quality_report_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality suite as one nested JSON report, read back as one row per check."""
     report = quality.validate_star(star_tables(spark, sf_dir))
@@ -330,6 +425,10 @@ def _prepared(query: Query) -> Query:
 def registry() -> dict[str, Query]:
     found: dict[str, Query] = {
         "extract_row_counts": extract_row_counts,
+        "extract_csv_orders": extract_csv_orders,
+        "extract_csv_customers": extract_csv_customers,
+        "extract_csv_products": extract_csv_products,
+        "upload_append": upload_append,
         "null_tokens": null_tokens,
         "clean_orders": _clean_orders,
         "clean_orders_datetimes": clean_orders_datetimes,
@@ -357,6 +456,8 @@ def registry() -> dict[str, Query]:
         "check_row_tolerance": lambda s, d: quality.check_row_tolerance(
             raw_tables(s, d)["orders"], star_tables(s, d)["fact_orders"], "fact_orders"
         ),
+        "schema_check": schema_check,
+        "gate_outcomes": gate_outcomes,
         "inject_nulls": inject_nulls,
         "inject_duplicates": inject_duplicates,
         "column_mapping": column_mapping,
@@ -367,5 +468,6 @@ def registry() -> dict[str, Query]:
         "log_level_filter": log_level_filter,
         "run_manifest_steps": run_manifest_steps,
         "quality_report_flatten": quality_report_flatten,
+        "report_round_trip": report_round_trip,
     }
     return {name: _prepared(query) for name, query in found.items()}

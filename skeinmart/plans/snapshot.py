@@ -11,7 +11,7 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.star import StarTables
-from ..session import fresh_dir, size_shuffles
+from ..session import fresh_dir, shared_dir, size_shuffles
 from ..sources import testbed
 from ..sources.files import files_state, read_star
 from ..sources.warehouse import write_table
@@ -31,7 +31,7 @@ def _state(spark: SparkSession, sf_dir: str) -> tuple:
 
 def _raw_zone(spark: SparkSession, sf_dir: str, state: tuple) -> str:
     with _lock:
-        key = ("raw", *state)
+        key = ("raw", shared_dir(spark), *state)
         if key not in _zones:
             zone = fresh_dir(spark, "raw")
             for name, df in testbed.raw_tables(spark, sf_dir).items():
@@ -42,7 +42,7 @@ def _raw_zone(spark: SparkSession, sf_dir: str, state: tuple) -> str:
 
 def _star_zone(spark: SparkSession, sf_dir: str, state: tuple) -> str:
     with _lock:
-        key = ("star", *state)
+        key = ("star", shared_dir(spark), *state)
         if key not in _zones:
             raw = _read_raw(spark, _raw_zone(spark, sf_dir, state))
             zone = fresh_dir(spark, "star")

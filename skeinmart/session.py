@@ -66,6 +66,7 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
 
 
 _own_scratch: dict[str, str] = {}
+_cleared: dict[str, int] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -78,7 +79,8 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     configured = spark.conf.get(CHECKPOINT_KEY, None) or context.getCheckpointDir()
     if configured:
-        return f"{configured.rstrip('/')}/skeinmart/{context.applicationId}"
+        nth = _cleared.get(context.applicationId)
+        return f"{configured.rstrip('/')}/skeinmart/{context.applicationId}{f'-{nth}' if nth else ''}"
     if not context.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors reach")
     if context.applicationId not in _own_scratch:
@@ -86,6 +88,19 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_scratch[context.applicationId]
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application; frames that read them fail afterwards.
+
+    For the end of a job: the library itself can't know when a caller is done with a frame.
+    What is written later goes to a new folder.
+    """
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    _own_scratch.pop(context.applicationId, None)
+    _cleared[context.applicationId] = _cleared.get(context.applicationId, 0) + 1
+
+
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A new, never used path under :func:`shared_dir`."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 from collections.abc import Mapping
 from dataclasses import dataclass
@@ -223,17 +224,22 @@ class FilesState:
 
     files: int
     size: int
-    changed: str
+    digest: str  # of every file's path, size and time of change
+
+
+def _on_this_disk(spark: SparkSession, path: str) -> bool:
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+    return path.startswith("/") and default.startswith("file:") and os.path.exists(path)
 
 
 def files_state(spark: SparkSession, paths: list[str]) -> FilesState:
-    """Count, bytes and last change of the files under some paths. Lists them, reads none."""
-    if all(os.path.exists(p) for p in paths):  # local folders need no job
+    """Count, bytes and a digest of the files under some paths. Lists them, reads none."""
+    if all(_on_this_disk(spark, p) for p in paths):  # local folders need no job
         found = [f for p in paths for f in ([p] if os.path.isfile(p) else glob(f"{p}/**/*", recursive=True))]
-        stats = [os.stat(f) for f in found if os.path.isfile(f)]
-        return FilesState(
-            len(stats), sum(s.st_size for s in stats), str(max((s.st_mtime_ns for s in stats), default=0))
-        )
+        stats = sorted((f, os.stat(f)) for f in found if os.path.isfile(f))
+        each = "\n".join(f"{f} {s.st_size} {s.st_mtime_ns}" for f, s in stats)
+        return FilesState(len(stats), sum(s.st_size for _, s in stats), hashlib.sha256(each.encode()).hexdigest())
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
-    row = listing.agg(F.count("*"), F.sum("length"), F.max("modificationTime").cast("string")).first()
+    each = F.xxhash64("path", "length", "modificationTime")
+    row = listing.agg(F.count("*"), F.sum("length"), F.bit_xor(each).cast("string")).first()
     return FilesState(row[0], row[1] or 0, row[2] or "")

@@ -1,5 +1,6 @@
 """Readers, writers, uploads and artifacts."""
 
+import os
 import json
 
 import pytest
@@ -229,3 +230,25 @@ def test_a_missing_table_has_the_ingest_order(spark, tmp_path):
     from skeinmart.operators import clean
 
     assert clean.clean_customers(files.extract_raw(spark, str(tmp_path), "customers")).count() == 0
+
+
+def test_clear_scratch_leaves_no_folder(spark):
+    from skeinmart import session
+
+    df = session.materialize(spark.range(5), "numbers")
+    folder = session.shared_dir(spark)
+    assert df.count() == 5 and os.path.isdir(folder)
+    session.clear_scratch(spark)
+    assert not os.path.exists(folder)
+    assert session.shared_dir(spark) != folder and session.materialize(spark.range(3), "numbers").count() == 3
+
+
+def test_files_state_sees_an_older_file_of_the_same_size(spark, tmp_path):
+    from skeinmart.sources.files import files_state
+
+    for name in "ab":
+        (tmp_path / name).write_text("x")
+    before = files_state(spark, [str(tmp_path)])
+    assert files_state(spark, [str(tmp_path)]) == before
+    os.utime(tmp_path / "a", (1, 1))
+    assert files_state(spark, [str(tmp_path)]) != before
