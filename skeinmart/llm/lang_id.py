@@ -227,10 +227,12 @@ def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, folds: int,
     """Models from a bounded sample of the learned rows; None if no row can be learned from."""
     rows = docs.where((fold(id_col, folds) != held) & F.col(lang_col).isNotNull())
     key = F.xxhash64(F.col(id_col).cast("long"))
-    # About twice as many of each language as are taken go on to the ranking, so that it stays small.
+    # About twice as many of each language as are taken go on to the ranking, so that it stays small. The
+    # sizes are one row a language, far less than the models that every task gets later; broadcast, they
+    # leave the rows where they are until the share is taken.
     lang = F.col(lang_col).cast("string").alias("lang")
     sizes = rows.groupBy(lang).agg(F.least(F.lit(1.0), F.lit(2.0 * rows_per_lang) / F.count("*")).alias("share"))
-    ids = rows.select(lang, key.alias("h"), *row_keys(id_col, text_col)).join(sizes, "lang")
+    ids = rows.select(lang, key.alias("h"), *row_keys(id_col, text_col)).join(F.broadcast(sizes), "lang")
     ids = ids.where(F.pmod("h", F.lit(1 << 30)) < F.col("share") * (1 << 30))
     ids = ids.withColumn("nth", F.expr("row_number() OVER (PARTITION BY lang ORDER BY h, k_text)")).where(F.col("nth") <= rows_per_lang)
     wanted = ids.select("lang", "k_id", "k_text").distinct()
