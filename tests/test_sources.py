@@ -1,7 +1,7 @@
 """Readers, writers, uploads and artifacts."""
 
-import os
 import json
+import os
 
 import pytest
 
