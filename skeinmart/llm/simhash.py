@@ -159,9 +159,17 @@ def deduplicate(
     one group. Null ids come after all others.
     """
     rows = materialize(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    return one_of_each(docs, rows, "fp", _roots(rows, max_bits), id_col, text_col)
+
+
+def one_of_each(docs: DataFrame, rows: DataFrame, key: str, roots: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` with one of each root: the least id, then the least text hash.
+
+    ``rows`` has doc_id, k_id, k_text and ``key`` of every row; ``roots`` the root of each key that has one.
+    """
     order = F.struct(F.col("doc_id").isNull().alias("n"), "k_id", "k_text")
-    best = rows.groupBy("fp").agg(F.min(order).alias("best"))
-    best = best.join(_roots(best, max_bits), "fp", "left").groupBy(F.coalesce("root", "fp").alias("root"))
+    best = rows.groupBy(key).agg(F.min(order).alias("best"))
+    best = best.join(roots, key, "left").groupBy(F.coalesce("root", key).alias("root"))
     keep = best.agg(F.min("best").alias("b")).select("b.k_id", "b.k_text")
     names = [unused_name(docs, n) for n in ("keep_id", "keep_text", "keep_n")]
     keep = keep.toDF(*names[:2])
