@@ -4,9 +4,10 @@ The fixed patterns give the base spans. Generators of high recall propose furthe
 spans, which may overlap each other. Gradient-boosted trees judge a proposal by
 features of its format and context. They learn from all documents: the proposals are
 counted by feature values (a table of bounded size, since every feature has a few
-values), with those that coincide with base spans as examples. Per kind the threshold
+values). Examples are those that coincide with base spans, and those with evidence of
+their own that the fixed patterns do not ask for (``evident``). Per kind the threshold
 is calibrated on other documents than the trees saw, so that at least ``PRECISION`` of
-the proposals above it are real; a kind for which no threshold does gets none added.
+the proposals above it are examples; a kind for which no threshold does gets none added.
 """
 
 from __future__ import annotations
@@ -45,9 +46,13 @@ NEEDS = {
 KEYWORDS = r"(?i)phone|tel|call|fax|mobile|mail|contact|card|visa|credit|\bip\b|server|host|address|account|write"
 OCTET = "0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 CONTEXT = 24
+# Words before a proposal that speak for its kind.
+SPEAKS = {"card": r"(?i)card|visa|credit", "phone": r"(?i)phone|\btel|\bcall|\bfax|mobile"}
+IPV6 = "^(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}$"
+ADDRESS = r"^[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}$"
 
 # Every feature has few values, so that their combinations stay countable on the driver.
-FEATURES = ["digits", "groups", "mark", "luhn", "octets", "keyword", "next", "tail"]
+FEATURES = ["digits", "groups", "mark", "luhn", "octets", "keyword", "next", "tail", "form"]
 FOLDS, FIT_FOLDS = 4, (0, 1)
 ROUNDS, RATE = 20, 0.3
 PRECISION, SUPPORT = 0.98, 50
@@ -129,6 +134,32 @@ def written(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", names[s["kind"]], s["start"], s["stop"])), ",")
 
 
+def undone(m: Column) -> Column:
+    """An address with (at) and [dot] as the signs they stand for."""
+    m = F.regexp_replace(m, r"(?i)\x20?[(\[{]\x20?at\x20?[)\]}]\x20?", "@")
+    return F.regexp_replace(m, r"(?i)\x20?[(\[{]\x20?dot\x20?[)\]}]\x20?", ".")
+
+
+def formed(p: Column) -> Column:
+    """Whether a proposal reads as an address that is spelled out, or as a full IPv6 address."""
+    email = (p["kind"] == KINDS.index("email")) & F.rlike(undone(p["m"]), F.lit(ADDRESS))
+    return email | (p["kind"] == KINDS.index("ip")) & F.rlike(p["m"], F.lit(IPV6))
+
+
+def evident(p: Column) -> Column:
+    """Whether a proposal is real by evidence that needs no base span.
+
+    Addresses: by syntax. Cards: the check sum, and under 14 digits also a word that
+    speaks for a card. Phones: 10 to 15 digits, as the base pattern has after a plus
+    sign, and a word that speaks for a phone.
+    """
+    d = digits_of(p["m"])
+    said = {k: F.rlike(p["before"], F.lit(v)) for k, v in SPEAKS.items()}
+    card = F.when(F.length(d).between(12, 19), luhn(d)).otherwise(False) & ((F.length(d) >= 14) | said["card"])
+    phone = F.length(d).between(10, 15) & said["phone"]
+    return formed(p) | (p["kind"] == KINDS.index("card")) & card | (p["kind"] == KINDS.index("phone")) & phone
+
+
 def bucket(c: Column, *bounds: int) -> Column:
     """Number of bounds that are at most the value."""
     return sum((F.when(c >= b, 1).otherwise(0) for b in bounds), F.lit(0))
@@ -150,12 +181,16 @@ def judged(p: Column) -> Column:
         "keyword": F.rlike(p["before"], F.lit(KEYWORDS)).cast("int"),
         "next": F.when(p["after"] == "", 0).when(F.rlike(p["after"], F.lit("[0-9A-Za-z]")), 1).when(F.rlike(p["after"], F.lit(r"\s")), 2).otherwise(3),
         "tail": bucket(tail, 1, 2, 3, 5),
+        "form": formed(p).cast("int"),
     }
-    return F.struct(p["kind"].alias("kind"), p["start"].alias("start"), p["stop"].alias("stop"), *(values[f].cast("int").alias(f) for f in FEATURES))
+    return F.struct(p["kind"].alias("kind"), p["start"].alias("start"), p["stop"].alias("stop"), evident(p).alias("evident"), *(values[f].cast("int").alias(f) for f in FEATURES))
 
 
 def proposals(docs: DataFrame, text: str, base: str, out: str) -> DataFrame:
-    """Adds the array ``base`` of base spans, and ``out`` of proposals with features and whether they are, or touch, base spans."""
+    """Adds the array ``base`` of base spans, and ``out`` of proposals with features and label.
+
+    Label 3: a base span; 2: touches one; 1: another with evidence; 0: another without.
+    """
     names = {(w, k): unused_name(docs, f"{w}_{k}") for w in ("b", "p") for k in KINDS}
     gate = unused_name(docs, "may_match")
     df = docs.withColumn(gate, F.rlike(F.col(text), F.lit(SIGNS)))
@@ -170,7 +205,7 @@ def proposals(docs: DataFrame, text: str, base: str, out: str) -> DataFrame:
     def label(p):
         same = F.exists(spans, lambda s: (s["start"] == p["start"]) & (s["stop"] == p["stop"]) & (s["kind"] == p["kind"]))
         touch = F.exists(spans, lambda s: (s["start"] < p["stop"]) & (p["start"] < s["stop"]))
-        return F.struct(*(p[f].alias(f) for f in ["kind", "start", "stop", *FEATURES]), F.when(same, 1).when(touch, 2).otherwise(0).alias("label"))
+        return F.struct(*(p[f].alias(f) for f in ["kind", "start", "stop", *FEATURES]), F.when(same, 3).when(touch, 2).otherwise(p["evident"].cast("int")).alias("label"))
 
     return df.withColumn(out, F.transform(every, label)).drop(gate, *names.values())
 
@@ -228,9 +263,9 @@ def fit(judged_docs: DataFrame, id_col: str, out: str) -> tuple[list, dict[int,
     """Trees, and the calibrated threshold of each kind that has one."""
     cells = (
         judged_docs.select(F.coalesce(fold(id_col, FOLDS), F.lit(0)).alias("fold"), F.explode(out).alias("p"))
-        .where("p.label < 2")
+        .where("p.label <> 2")
         .groupBy("p.kind", *(f"p.{f}" for f in FEATURES), F.col("fold").isin(*FIT_FOLDS).alias("fit"))
-        .agg(F.sum("p.label").alias("yes"), F.count_if(F.col("p.label") == 0).alias("no"))
+        .agg(F.count_if(F.col("p.label") > 0).alias("yes"), F.count_if(F.col("p.label") == 0).alias("no"))
         .collect()  # at most one row for each combination of feature values
     )
     cells = sorted(cells)
@@ -270,7 +305,7 @@ def with_spans(docs: DataFrame, id_col: str, text: str, base: str, every: str) -
         limit = F.lit(float("inf"))
         for kind, bound in limits.items():
             limit = F.when(p["kind"] == kind, F.lit(bound)).otherwise(limit)
-        return (p["label"] == 0) & (score >= limit - 1e-9)
+        return (p["label"] < 2) & (score >= limit - 1e-9)
 
     added = F.filter(F.col(out), chosen)
     # Of added spans that overlap, the first stays.
