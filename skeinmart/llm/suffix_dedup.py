@@ -98,11 +98,6 @@ def anchors_of(text: bytes, length: int, gram: int, piece: int = SLICE_BYTES) ->
     return place[own], h[own], first[own], last[np.append(own[1:], len(place)) - 1]
 
 
-def keys(id_col: str, text_col: str) -> list:
-    """As ``row_keys``, with a shorter text hash."""
-    return [row_keys(id_col, text_col)[0], F.hash(whole_text(text_col)).alias("k_text")]
-
-
 def anchors(docs: DataFrame, id_col: str, text_col: str, length: int, gram: int) -> DataFrame:
     """k_id, k_text, pos, left, right, gram, context: the bytes before and from pos in the windows that own it."""
 
@@ -123,11 +118,11 @@ def anchors(docs: DataFrame, id_col: str, text_col: str, length: int, gram: int)
             for o, c in zip(out, (*columns, np.array(context, np.uint64).view(np.int64))):
                 o.append(c)
         if out[0]:
-            kinds = [np.int64, np.int32, np.int64, np.int32, np.int32, np.int64, np.int64]
+            kinds = [np.int64, np.int64, np.int64, np.int32, np.int32, np.int64, np.int64]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(o).astype(k)) for o, k in zip(out, kinds)], NAMES)
 
-    rows = docs.select(*keys(id_col, text_col), whole_text(text_col).alias("t"))
-    return map_arrow(rows, run, "k_id long, k_text int, pos long, left int, right int, gram long, context long")
+    rows = docs.select(*row_keys(id_col, text_col), whole_text(text_col).alias("t"))
+    return map_arrow(rows, run, "k_id long, k_text long, pos long, left int, right int, gram long, context long")
 
 
 def packed(rows: DataFrame) -> DataFrame:
@@ -308,7 +303,7 @@ def repeated_spans(
     wanted = contexts.join(sizes, "gram").groupBy("k_id", "k_text").agg(
         F.collect_list(F.struct("gram", "context", "pos", "left", "right", "settled", "hot")).alias("list")
     )
-    texts = packed(docs.select(*keys(id_col, text_col), whole_text(text_col).alias("t")))
+    texts = packed(docs.select(*row_keys(id_col, text_col), whole_text(text_col).alias("t")))
     cut = texts.join(wanted, ["k_id", "k_text"]).select("k_id", "k_text", "t", "list")
     names = ["gram", "context", "k_id", "k_text", "pos", "left", "settled", "hot", "bytes"]
 
@@ -326,10 +321,10 @@ def repeated_spans(
                 yield pa.RecordBatch.from_arrays([pa.array(r, s) for r, s in zip(rows, kinds)], names)
                 rows = [[] for _ in names]
 
-    kinds = [pa.int64()] * 3 + [pa.int32(), pa.int64(), pa.int32(), pa.bool_(), pa.bool_(), pa.binary()]
-    schema = "gram long, context long, k_id long, k_text int, pos long, left int, settled boolean, hot boolean, bytes binary"
+    kinds = [pa.int64()] * 5 + [pa.int32(), pa.bool_(), pa.bool_(), pa.binary()]
+    schema = "gram long, context long, k_id long, k_text long, pos long, left int, settled boolean, hot boolean, bytes binary"
     cut = materialize(map_arrow(cut, extract, schema), "context-bytes", compression="zstd")
-    spans = "k_id long, k_text int, start long, stop long"
+    spans = "k_id long, k_text long, start long, stop long"
 
     def match(batches):
         for t in (part for table in whole_groups(batches, ["gram"], 5_000) for part in group_slices(table)):
@@ -358,13 +353,13 @@ def repeated_spans(
             n = len(o)
             h = np.array([(xxhash.xxh3_64_intdigest(w := b[a - x : a - x + length], x), xxhash.xxh64_intdigest(w, x)) for x in o], np.uint64)
             h = h.reshape(-1, 2).view(np.int64)
-            keep = [pa.array(np.full(n, row[k], d)) for k, d in (("context", np.int64), ("k_id", np.int64), ("k_text", np.int32))]
+            keep = [pa.array(np.full(n, row[k], d)) for k, d in (("context", np.int64), ("k_id", np.int64), ("k_text", np.int64))]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(h[:, 0]), pa.array(h[:, 1]), *keep, pa.array(row["pos"] - np.array(o, np.int64))],
                 ["h", "g", "context", "k_id", "k_text", "start"],
             )
 
-    every = map_arrow(cut.where("hot"), windows, "h long, g long, context long, k_id long, k_text int, start long")
+    every = map_arrow(cut.where("hot"), windows, "h long, g long, context long, k_id long, k_text long, start long")
     twice = every.groupBy("h", "g").agg((F.min("context") < F.max("context")).alias("two")).where("two").select("h", "g")
     crowded = every.join(twice, ["h", "g"], "left_semi").select("k_id", "k_text", "start", (F.col("start") + length).alias("stop"))
     return settled.unionByName(usual).unionByName(crowded).distinct()
@@ -382,7 +377,7 @@ def remove_repeats(
     """
     spans = repeated_spans(docs, id_col, text_col, length, gram, hot)
     spans = spans.groupBy("k_id", "k_text").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("spans"))
-    rows = packed(docs.select(F.col(id_col).cast("long").alias("doc_id"), *keys(id_col, text_col), whole_text(text_col).alias("t")))
+    rows = packed(docs.select(F.col(id_col).cast("long").alias("doc_id"), *row_keys(id_col, text_col), whole_text(text_col).alias("t")))
     rows = rows.join(spans, ["k_id", "k_text"], "left").select("doc_id", "t", "spans")
 
     def run(batch: pa.RecordBatch):

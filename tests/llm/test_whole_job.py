@@ -2,9 +2,22 @@
 
 import random
 
+from pyspark.sql import functions as F
 from test_operators import words
 
-from skeinmart.llm import pii
+from skeinmart.llm import pii, suffix_dedup
+
+
+def test_rows_of_one_id_whose_32_bit_hashes_agree(spark):
+    rng = random.Random(4)
+    shared, own = words(rng, 30), words(rng, 30)
+    base = spark.range(200_000)
+    both = [base.select(F.concat(F.lit(t + " "), F.col("id")).alias("t")).withColumn("h", F.hash("t")) for t in (shared, own)]
+    x, y = both[0].toDF("x", "h").join(both[1].toDF("y", "h"), "h").orderBy("x", "y").select("x", "y").first()
+    docs = spark.createDataFrame([(None, x), (None, y), (1, shared)], "doc_id long, text string")
+    got = {bytes(r.kept): r.n_removed for r in suffix_dedup.remove_repeats(docs, length=60, gram=20).collect()}
+    assert got[y.encode()] == 0, "nothing of it repeats"
+    assert sum(n > 0 for n in got.values()) == 2
 
 
 def luhn_number(rng, n):
