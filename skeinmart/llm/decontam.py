@@ -9,6 +9,8 @@ the others are verified by an alignment that stays inside the band.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -18,7 +20,7 @@ from .tables import quoted, row_keys, slices, unused_name, whole_text
 
 Q = 8  # bytes: a q-gram is one 64-bit word
 EDITS = 0.08  # edit budget, per byte of the item
-MIN_BYTES = 24  # shorter items are too short to tell a leak from chance
+MIN_BYTES = 24  # shorter items match exactly and between word bounds only; those under Q bytes match nothing
 # The items are sent to the tasks in blocks of at most so many bytes (an item stands alone
 # if it is longer); each block is held against all texts.
 BLOCK_BYTES = 2 << 20
@@ -53,7 +55,8 @@ class Items:
     def __init__(self, items: list[tuple[int, bytes]]):
         self.items = items
         size = np.array([len(t) for _, t in items])
-        self.edits = np.array([budget(m) for m in size])
+        self.edits = np.array([budget(m) if m >= MIN_BYTES else 0 for m in size])
+        self.longest = int(size.max())
         self.least = size - Q + 1 - self.edits * Q
         g = [grams(t) for _, t in items]
         every = np.concatenate(g)
@@ -103,6 +106,11 @@ def alignment(item: bytes, text: bytes, shift: int, width: int, most: int) -> in
     return int(row.min())
 
 
+def stands_alone(item: bytes, text: bytes) -> bool:
+    """Whether the text holds the item with no letter or digit next to it."""
+    return re.search(rb"(?<![0-9a-z\x80-\xff])" + re.escape(item) + rb"(?![0-9a-z\x80-\xff])", text) is not None
+
+
 def leaks(texts: list[bytes], items: Items) -> list[tuple[int, int, int]]:
     """(text, item, least edits) of the items that texts hold within their budgets."""
     data = b"\n".join(texts)  # no normalised text has a line break, so no q-gram crosses two
@@ -116,7 +124,7 @@ def leaks(texts: list[bytes], items: Items) -> list[tuple[int, int, int]]:
     at, item, place, doc, pair = at[keep], item[keep], place[keep], doc[keep], pair[keep]
     if not len(at):
         return []
-    diagonal = at - begin[doc] - place + (1 << 20)  # above zero: no item is longer
+    diagonal = at - begin[doc] - place + items.longest  # above zero
     step = items.edits[item] + 1
     band = diagonal // step
     # A band holds two steps; so each q-gram counts in the band that begins at its step and in the one before.
@@ -134,12 +142,18 @@ def leaks(texts: list[bytes], items: Items) -> list[tuple[int, int, int]]:
     own = pair % len(items.items)
     good = count >= items.least[own]
     best: dict[tuple[int, int], int] = {}
+    tried: set[tuple[int, int]] = set()
     for pr, b, it in zip(pair[good].tolist(), band[good].tolist(), own[good].tolist()):
         d = pr // len(items.items)
         if best.get((d, it)) == 0:
             continue
         k, (_, text) = int(items.edits[it]), items.items[it]
-        shift = b * (k + 1) - (1 << 20)
+        if len(text) < MIN_BYTES:
+            if (d, it) not in tried and stands_alone(text, texts[d]):
+                best[d, it] = 0
+            tried.add((d, it))
+            continue
+        shift = b * (k + 1) - items.longest
         region = texts[d][max(shift, 0) : shift + 2 * k + 2 + len(text)]
         e = 0 if text in region else alignment(text, texts[d], shift, 2 * k + 1, k)
         if e <= k:
@@ -155,7 +169,7 @@ def item_blocks(benchmark: DataFrame, item_id: str, text_col: str):
     for b in range(n):
         part = rows.where(F.pmod(F.xxhash64("item_id", "t"), F.lit(n)) == b).distinct().orderBy("item_id", "t")
         block = [(r.item_id, normal(r.t)) for r in part.collect()]
-        block = [(i, t) for i, t in block if MIN_BYTES <= len(t) < 1 << 20]
+        block = [(i, t) for i, t in block if len(t) >= Q]
         if block:
             yield block
 
@@ -167,7 +181,8 @@ def find_leaks(
 
     Texts and items are compared as the UTF-8 bytes of lower case with blanks
     collapsed; null is empty. The budget is ``EDITS`` an item byte. Items under
-    ``MIN_BYTES`` (or of a megabyte) after that match nothing, nor do empty texts. A pair is
+    ``MIN_BYTES`` after that match exactly, between word bounds; those under ``Q`` bytes
+    match nothing, nor do empty texts. A pair is
     reported once for each repeat of the row, items that are repeated in id and text
     once; ids may be null. Without items or texts the result is empty.
     """

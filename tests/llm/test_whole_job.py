@@ -3,9 +3,9 @@
 import random
 
 from pyspark.sql import functions as F
-from test_operators import words
+from test_operators import rows_of, words
 
-from skeinmart.llm import pii, suffix_dedup
+from skeinmart.llm import decontam, pii, suffix_dedup
 
 
 def test_rows_of_one_id_whose_32_bit_hashes_agree(spark):
@@ -20,6 +20,16 @@ def test_rows_of_one_id_whose_32_bit_hashes_agree(spark):
     assert sum(n > 0 for n in got.values()) == 2
 
 
+def test_short_and_very_long_items_leak(spark):
+    rng = random.Random(5)
+    long = words(rng, 240_000)
+    assert len(long) > 1 << 20
+    bench = spark.createDataFrame([(1, "Who wrote it"), (2, long), (3, "red house")], "item_id long, text string")
+    rows = [(1, "a: who  WROTE it?"), (2, "x " + long + " y"), (3, "infrared houses"), (4, "who wrote"), (5, "red house"), (6, "red houses, a red house")]
+    found = decontam.find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), bench)
+    assert rows_of(found, "doc_id", "item_id", "edits") == [(1, 1, 0), (2, 2, 0), (5, 3, 0), (6, 3, 0)]
+
+
 def luhn_number(rng, n):
     d = [4] + [rng.randrange(10) for _ in range(n - 2)]
     total = sum(x if k % 2 else sum(divmod(2 * x, 10)) for k, x in enumerate(reversed(d)))
