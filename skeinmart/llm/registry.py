@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, hmm_lm, lang_id, pii, quality, quotes, simhash, source_mix, suffix_dedup, vector_dedup
+from . import (
+    decontam, hmm_lm, lang_id, pii, prefix_trie, quality, quotes, simhash, source_mix, suffix_dedup, token_store, vector_dedup, whitening,
+)
 from .tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,9 +56,28 @@ def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "edits")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    """``vocabulary``: file of the tokenizer, by default the installed public byte-level BPE."""
+    return token_store.store_and_digest(read(spark, sf_dir, "documents"), vocabulary or public_tokenizer())
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(read(spark, sf_dir, "conversations"))
+
+
+def public_tokenizer(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 OPERATORS = [
     op1_hmm_scores, op2_source_mix, op3_language, op4_quality, op5_quote_links, op6_simhash, op7_suffix_dedup, op8_near_vectors,
-    op9_personal_data, op10_benchmark_leaks,
+    op9_personal_data, op10_benchmark_leaks, op11_whitening, op12_token_files, op13_prefix_trie,
 ]
 
 
@@ -65,7 +86,10 @@ def queries() -> dict[str, Query]:
 
 
 def statements() -> dict[str, str]:
-    return {"op2_source_mix": source_mix.MIX_SQL.format(docs="documents"), "op5_quote_links": quotes.QUOTES_SQL, "op8_near_vectors": VECTORS_SQL}
+    return {
+        "op2_source_mix": source_mix.MIX_SQL.format(docs="documents"), "op5_quote_links": quotes.QUOTES_SQL,
+        "op8_near_vectors": VECTORS_SQL, "op13_prefix_trie": prefix_trie.TRIE_SQL,
+    }
 
 
 VECTORS_SQL = """
