@@ -64,20 +64,43 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_str(vocabulary)
+        # Bytes that an id stands for: a byte-level vocabulary writes each as one sign.
+        self.bytes = np.zeros(self.model.get_vocab_size(), np.int64)
+        for sign, i in self.model.get_vocab(with_added_tokens=False).items():
+            self.bytes[i] = len(sign)
+        for i, token in self.model.get_added_tokens_decoder().items():
+            self.bytes[i] = len(token.content.encode())
         self.forget()
 
     def forget(self) -> None:
         self.place: dict[str, int] = {}
         self.ids, self.first, self.count = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
+    def singly(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces one after another, and how many each has."""
+        found = [e.ids for i in range(0, len(new), 4096) for e in self.model.encode_batch_fast(new[i : i + 4096], add_special_tokens=False)]
+        n = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.int32, int(n.sum())), n
+
+    def joined(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for pieces that begin with a blank and a sign, many in one string.
+
+        Ids of byte-level BPE stand for bytes, so their lengths tell where the pieces end.
+        """
+        ids, _ = self.singly(["".join(new[i : i + 512]) for i in range(0, len(new), 512)])
+        ends = np.cumsum(np.fromiter((len(p.encode()) for p in new), np.int64, len(new)))
+        upto = np.cumsum(self.bytes[ids])
+        at = np.searchsorted(upto, ends)
+        if len(at) and (at[-1] + 1 != len(ids) or (upto[at] != ends).any()):
+            return self.singly(new)  # not a byte-level vocabulary
+        return ids, np.diff(at, prepend=-1)
+
     def learn(self, new: list[str]) -> None:
-        parts, counts = [], []
-        for i in range(0, len(new), 4096):
-            found = [e.ids for e in self.model.encode_batch_fast(new[i : i + 4096], add_special_tokens=False)]
-            counts.append(np.fromiter(map(len, found), np.int64, len(found)))
-            parts.append(np.fromiter(chain.from_iterable(found), np.int32, int(counts[-1].sum())))
-        self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
-        self.ids, self.count = np.concatenate([self.ids, *parts]), np.concatenate([self.count, *counts])
+        plain = [w for w in new if w[:1] == " " and w[1:2].strip()]
+        other = [w for w in new if not (w[:1] == " " and w[1:2].strip())]
+        parts = [(self.ids, self.count), self.joined(plain), self.singly(other)]
+        self.place.update(zip([*plain, *other], range(len(self.place), len(self.place) + len(new))))
+        self.ids, self.count = (np.concatenate(x) for x in zip(*parts))
         self.first = np.cumsum(self.count) - self.count
 
     def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
