@@ -31,6 +31,7 @@ LISTED = 100_000  # words with 1/100000 of all tokens are sent to every task: at
 START_ROWS = 1024  # training rows that the first parameters are fitted on
 START_ROUNDS, FULL_ROUNDS = 12, 2
 SLICE_TOKENS = 600_000
+SLICE_BYTES = 2 << 20  # text that is coded at once
 
 
 def words(text: bytes) -> list[bytes]:
@@ -126,23 +127,28 @@ def encode(docs: DataFrame, voc: Vocabulary) -> DataFrame:
         codes = Codes(voc.listed)
         log_c = np.log10(voc.count + ADD)
         in_shared = voc.cls[:n] < SHARED_CLASSES
-        out: list[list] = [[] for _ in range(6)]
-        for t in binary_list(batch.column("t")):
-            toks = words(t)
-            toks.append(END)
-            code = np.fromiter(map(codes.__getitem__, toks), np.int64, len(toks))
-            known = code < n
-            at = code[known]
-            rest = Counter([toks[i] for i in np.flatnonzero(~known).tolist()])
-            row = (voc.cls[code].astype("<u2").tobytes(), len(toks), int((voc.count[at] > 0).sum()), float(log_c[at].sum()),
-                   float(log_c[at][in_shared[at]].sum()), [{"word": w, "tf": f} for w, f in rest.items()])
-            for o, v in zip(out, row):
-                o.append(v)
-        rest = pa.list_(pa.struct([("word", pa.binary()), ("tf", pa.int64())]))
-        kinds = [pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), rest]
-        arrays = [batch.column(i) for i in range(4)] + [pa.array(o, k) for o, k in zip(out, kinds)]
-        names = ["doc_id", "k_id", "k_text", "train", "classes", "n_tokens", "n_listed", "base_listed", "share_listed", "rest"]
-        yield pa.RecordBatch.from_arrays(arrays, names)
+        texts = binary_list(batch.column("t"))
+        for first, end in slices(list(map(len, texts)), SLICE_BYTES):
+            out: list[list] = [[] for _ in range(5)]
+            other, tf, ends = [], [], [0]
+            for t in texts[first:end]:
+                toks = words(t)
+                toks.append(END)
+                code = np.fromiter(map(codes.__getitem__, toks), np.int64, len(toks))
+                known = code < n
+                at = code[known]
+                rest = Counter([toks[i] for i in np.flatnonzero(~known).tolist()])
+                row = (voc.cls[code].astype("<u2").tobytes(), len(toks), int((voc.count[at] > 0).sum()), float(log_c[at].sum()), float(log_c[at][in_shared[at]].sum()))
+                for o, v in zip(out, row):
+                    o.append(v)
+                other += rest
+                tf += rest.values()
+                ends.append(len(other))
+            rest = pa.StructArray.from_arrays([pa.array(other, pa.binary()), pa.array(tf, pa.int64())], ["word", "tf"])
+            kinds = [pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+            arrays = [batch.column(i).slice(first, end - first) for i in range(4)] + [pa.array(o, k) for o, k in zip(out, kinds)]
+            names = ["doc_id", "k_id", "k_text", "train", "classes", "n_tokens", "n_listed", "base_listed", "share_listed", "rest"]
+            yield pa.RecordBatch.from_arrays([*arrays, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rest)], names)
 
     schema = "doc_id long, k_id long, k_text long, train boolean, classes binary, n_tokens long, n_listed long, base_listed double, share_listed double"
     return map_arrow(docs, run, schema + ", rest array<struct<word:binary,tf:bigint>>")

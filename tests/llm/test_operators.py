@@ -456,3 +456,44 @@ def test_empty_tables(spark, empty):
     assert simhash.near_duplicates(empty).count() == simhash.deduplicate(empty).count() == 0
     assert suffix_dedup.remove_repeats(empty).count() == 0
     assert pii.find_personal_data(empty).count() == pii.redact(empty).count() == 0
+
+
+def test_scores_are_the_forward_recursion_over_whole_words(spark, docs, monkeypatch):
+    """Every score, step by step over words, with the parameters that the training gave."""
+    kept, train, vocabulary = {}, hmm_lm.train, hmm_lm.vocabulary
+    monkeypatch.setattr(hmm_lm, "train", lambda *a: kept.setdefault("model", train(*a)))
+    monkeypatch.setattr(hmm_lm, "vocabulary", lambda c: kept.setdefault("voc", vocabulary(c)))
+    monkeypatch.setattr(hmm_lm, "SLICE_BYTES", 500)
+    got = hmm_lm.score_texts(docs).select("doc_id", "n_tokens", "score").collect()
+    rows, model, voc = docs.collect(), kept["model"], kept["voc"]
+    tokens = [[w.encode() for w in re.split("[\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m.group().lower(), r.text or "")) if w] + [b""] for r in rows]
+    learned = collections.Counter()
+    for r, toks in zip(rows, tokens):
+        if r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 10:
+            learned.update(toks)
+    total = sum(learned.values())
+    assert total == voc.total
+    own = {w: hmm_lm.SHARED_CLASSES + i for i, w in enumerate(sorted(w for w, c in learned.items() if c * hmm_lm.OWN_CLASS >= total))}
+    size, kinds = collections.Counter(), collections.Counter()
+    for w, c in learned.items():
+        if w not in own:
+            size[hmm_lm.shared_class(w)] += c
+            kinds[hmm_lm.shared_class(w)] += 1
+
+    def emission(w):
+        if w in own:
+            return model.emit[:, own[w]]
+        k = hmm_lm.shared_class(w)
+        room = size[k] + hmm_lm.ADD * (kinds[k] + 1) if kinds[k] else hmm_lm.ADD
+        return model.emit[:, k] * (learned[w] + hmm_lm.ADD) / room
+
+    want = []
+    for r, toks in zip(rows, tokens):
+        state, logs = model.start, 0.0
+        for i, w in enumerate(toks):
+            state = (state @ model.move if i else state) * emission(w)
+            logs, state = logs + np.log10(state.sum()), state / state.sum()
+        want.append((r.doc_id, len(toks), logs))
+    key = lambda x: (str(x[0]), x[1], round(x[2], 4))
+    for a, b in zip(sorted(map(tuple, got), key=key), sorted(want, key=key)):
+        assert a[:2] == b[:2] and abs(a[2] - b[2]) < 1e-6 * max(1, abs(b[2]))
