@@ -50,7 +50,7 @@ def typed_orders(
         raise ValueError(f"orders lack mandatory columns {missing}")
     return df.select(
         *[integer_column(df, c).alias(c) for c in ("order_id", "customer_id", "product_id", "quantity")],
-        date_column(df, "order_date", date_format).alias("order_date"),
+        date_column(df, "order_date", date_format, list((extra or {}).values())).alias("order_date"),
         F.lower(text_or_default(df, "status", S.DEFAULT_STATUS)).alias("status"),
         *[c.alias(n) for n, c in (extra or {}).items()],
     )
@@ -76,7 +76,9 @@ def clean_customers(
         return _empty(df, S.CLEAN_CUSTOMERS)
     seq = _order_columns(df, order_by)
     signup = (
-        date_column(df, "signup_date", date_format) if "signup_date" in df.columns else F.lit(None).cast("date")
+        date_column(df, "signup_date", date_format, list(seq.values()))
+        if "signup_date" in df.columns
+        else F.lit(None).cast("date")
     )
     typed = df.select(
         integer_column(df, "customer_id").alias("customer_id"),
