@@ -73,6 +73,18 @@ def check_null_pks(df: DataFrame, table: str, pk: str) -> DataFrame:
     return _report(df, _aggregates(pk), [_null_row(table, pk)])
 
 
+def check_pct_limits(df: DataFrame, table: str, pk: str, max_null_pct: float = 0.0, max_duplicate_pct: float = 0.0) -> DataFrame:
+    """Null keys, and rows beyond the first of each key, as shares of all rows against limits in percent. An empty table passes."""
+    extra = F.col("n_rows") - F.col("n_keys") - F.when(F.col("nulls") > 0, 1).otherwise(0)
+
+    def row(kind: str, n: Column, limit: float) -> Column:
+        details = F.concat(n.cast("string"), F.lit(" of "), F.col("n_rows").cast("string"), F.lit(" rows"))
+        return _row(f"{kind}_pct({pk}) <= {limit:g}", table, n * 100.0 <= F.lit(limit) * F.col("n_rows"), details)
+
+    rows = [row("null", F.col("nulls"), max_null_pct), row("duplicate", extra, max_duplicate_pct)]
+    return _report(df, _aggregates(pk, distinct=True), rows)
+
+
 def check_duplicate_pks(df: DataFrame, table: str, pk: str) -> DataFrame:
     """Rows beyond the first of each key; null keys equal each other."""
     return _report(df, _aggregates(pk, distinct=True), [_duplicate_row(table, pk)])

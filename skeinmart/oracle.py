@@ -214,6 +214,17 @@ def _counts(tables: list[tuple[str, str]], name: str = "row_count") -> str:
 
 
 _RAW_COUNTS = _counts([(n, f"raw_{n}") for n in RAW_SQL])
+def _share(source: str, name: str, key: str, limit: int) -> str:
+    """Rows of the percent limits of a key: nulls, and rows beyond the first of each key."""
+    n = f"(SELECT count(*) AS n, count(*) - count({key}) AS nulls, count({key}) - count(DISTINCT {key}) + " \
+        f"greatest(count(*) - count({key}) - 1, 0) AS extra FROM {source})"
+    return _union([
+        f"""SELECT '{kind}_pct({key}) <= {limit}' AS "check", '{name}' AS "table", {c} * 100.0 <= {limit} * n AS passed, """
+        f"concat(CAST({c} AS VARCHAR), ' of ', CAST(n AS VARCHAR), ' rows') AS details FROM {n}"
+        for kind, c in (("null", "nulls"), ("duplicate", "extra"))
+    ])
+
+
 _STAR_COUNTS = _counts([(t, t) for t in _PK])
 
 
@@ -475,6 +486,55 @@ def statements(given_star: bool = False) -> dict[str, str]:
             name: _star(f"SELECT * FROM ({text.format(**{t: f'(SELECT * FROM {t} UNION ALL SELECT * FROM {t})' for t in _PK})})")
             for name, text in STATEMENTS.items()
         },
+        "load_retry": _star(f"SELECT table_name, 2 * row_count AS row_count, 2::BIGINT AS batches FROM ({_STAR_COUNTS})"),
+        "load_digest": _star(f"SELECT table_name, row_count, true AS same_content, false AS same_without_a_row FROM ({_STAR_COUNTS})"),
+        "load_constraints": _star(
+            "SELECT table_name, constraint_name, broken_rows, false AS published FROM (" + _union([
+                "SELECT 'dim_customers' AS table_name, 'unique: customer_id' AS constraint_name, count(*) AS broken_rows FROM dim_customers WHERE customer_id % 100 = 7",
+                "SELECT 'dim_products', 'not null: product_name', count(*) FROM dim_products WHERE product_id % 100 = 3",
+                "SELECT 'fact_orders', 'foreign: date_id in dim_date', count(*) FROM fact_orders WHERE date_id % 100 = 15",
+                *(
+                    f"SELECT 'fact_orders', 'foreign: {k} in {dim}', count(*) FROM fact_orders WHERE {k} NOT IN (SELECT {k} FROM {dim})"
+                    for k, dim in _FK.items() if k != "date_id"
+                ),
+            ]) + ") WHERE broken_rows > 0"
+        ),
+        "load_skip_known": _star(
+            "SELECT table_name, row_count, CASE table_name WHEN 'fact_orders' THEN even ELSE row_count END AS first_rows, "
+            "CASE table_name WHEN 'fact_orders' THEN row_count - even ELSE 0 END AS added_rows "
+            f"FROM ({_STAR_COUNTS}), (SELECT count(*) FILTER (WHERE order_id % 2 = 0) AS even FROM fact_orders)"
+        ),
+        "clean_orders_first_format": _cleaned(
+            "SELECT order_id, customer_id, product_id, quantity, order_date, status FROM valid_orders WHERE order_id % 7 <> 0 "
+            "QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY 31 - day(order_date), s1, s2, s3) = 1"
+        ),
+        "extract_damaged": _raw(
+            "SELECT CAST(order_id AS BIGINT) % 11 = 0 OR CAST(order_id AS BIGINT) % 13 = 0 AS damaged, count(*) AS row_count, "
+            "CAST(sum(CAST(order_id AS BIGINT)) AS BIGINT) AS id_sum FROM raw_orders GROUP BY damaged"
+        ),
+        "extract_missing": _raw(
+            "SELECT table_name, CASE table_name WHEN 'orders' THEN n ELSE 0 END AS row_count "
+            "FROM (VALUES ('orders'), ('customers'), ('products')) AS t(table_name), (SELECT count(*) AS n FROM raw_orders)"
+        ),
+        "named_tables": _star(
+            f"SELECT table_name, true AS found, row_count FROM ({_STAR_COUNTS}) UNION ALL SELECT 'dim_stores', false, NULL"
+        ),
+        "log_lines": (
+            "SELECT CAST(dense_rank() OVER (ORDER BY strftime(ts, '%Y-%m-%d') DESC) AS INTEGER) AS file_no, strftime(ts, '%Y-%m-%d') AS day, "
+            "row_number() OVER (PARTITION BY strftime(ts, '%Y-%m-%d') ORDER BY event_id) AS line_no, "
+            "concat('[', upper(event_type), '] event ', CAST(event_id AS VARCHAR)) AS value FROM events"
+        ),
+        "distinct_rollup": _star(
+            "SELECT 'month' AS level, year, quarter, month, count(DISTINCT customer_id) AS customers "
+            "FROM fact_orders JOIN dim_date USING (date_id) GROUP BY year, quarter, month UNION ALL "
+            "SELECT 'quarter', year, quarter, NULL, count(DISTINCT customer_id) FROM fact_orders JOIN dim_date USING (date_id) "
+            "GROUP BY year, quarter UNION ALL "
+            "SELECT 'year', year, NULL, NULL, count(DISTINCT customer_id) FROM fact_orders JOIN dim_date USING (date_id) GROUP BY year"
+        ),
+        "check_pct_limits": _star(_union([
+            *(_share(t, t, pk, 0) for t, pk in _PK.items()),
+            *(_share(f"raw_{t}", f"raw_{t}", "customer_id", limit) for limit in (0, 5) for t in ("orders", "customers")),
+        ])),
         "pipeline_run": _star(
             "SELECT mode, step, table_name, CASE WHEN mode = 'incremental' AND step = 'load' THEN 2 ELSE 1 END * row_count "
             f"AS row_count FROM ({_STAR_COUNTS}), (VALUES ('full'), ('incremental')) AS m(mode), "

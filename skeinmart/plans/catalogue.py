@@ -17,6 +17,7 @@ from ..session import fresh_dir, materialize, prepare
 from ..sources import artifacts, files, testbed, warehouse
 from . import analytics, marts, pipeline
 from .appended import STATEMENTS
+from .loads import QUERIES as LOADS
 from .snapshot import raw_tables, star_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -465,6 +466,7 @@ def registry() -> dict[str, Query]:
         "load_verify_incremental": _load_verify(["full", "incremental"]),
         **{name: _on_appended(text) for name, text in STATEMENTS.items()},
         "pipeline_run": pipeline_run,
+        **LOADS,
         "log_level_filter": log_level_filter,
         "run_manifest_steps": run_manifest_steps,
         "quality_report_flatten": quality_report_flatten,

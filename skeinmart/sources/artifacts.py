@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.text import level_filter
 from ..schemas import LOG_LEVELS, MANIFEST_DDL, NESTED_REPORT_DDL, REPORT_SCHEMA
@@ -76,13 +77,22 @@ def read_nested_report(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_logs(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of all ``.log`` files: ``file_name``, ``line_no`` (order of reading), ``value``."""
-    return (
-        spark.read.option("pathGlobFilter", "*.log")
-        .text(path)
-        .select(F.col("_metadata.file_name").alias("file_name"), F.monotonically_increasing_id().alias("line_no"), "value")
-    )
+def read_logs(spark: SparkSession, path: str, names: str = "*.log", recursive: bool = False) -> DataFrame:
+    """Lines of all log files: ``file_name``, ``file_path``, ``line_no`` (from 1, in its file), ``value``.
+
+    Lines are counted in each split of a file, and a split's first number follows from the counts
+    of the splits before it: no task needs more than one split of a file.
+    """
+    reader = spark.read.option("pathGlobFilter", names).option("recursiveFileLookup", recursive)
+    meta = [F.col(f"_metadata.{c}") for c in ("file_name", "file_path", "file_block_start")]
+    lines = reader.text(path).select(*meta, F.monotonically_increasing_id().alias("nth"), "value")
+    split = ["file_path", "file_block_start"]
+    earlier = Window.partitionBy("file_path").orderBy("file_block_start").rowsBetween(Window.unboundedPreceding, -1)
+    counts = lines.groupBy(*split).agg(F.count("*").alias("n"))
+    before = counts.select(*split, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    here = F.row_number().over(Window.partitionBy(*split).orderBy("nth"))
+    numbered = lines.withColumn("here", here).join(before, split)
+    return numbered.select("file_name", "file_path", (F.col("before") + F.col("here")).alias("line_no"), "value")
 
 
 def log_files(logs: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import hashlib
 import os
 from collections.abc import Mapping
@@ -19,7 +20,8 @@ from pyspark.sql import types as T
 from ..functions.text import null_tokens_to_null
 from ..operators.clean import INGEST_ORDER
 from ..operators.star import StarTables
-from ..schemas import RAW_SCHEMAS, STAR_SCHEMAS, STAR_TABLES
+from ..schemas import RAW_SCHEMAS, STAR_SCHEMAS, STAR_TABLES, all_string
+from ..session import fresh_dir
 
 _NO_PATH = "PATH_NOT_FOUND"
 
@@ -63,27 +65,63 @@ def with_ingest_order(df: DataFrame) -> DataFrame:
     )
 
 
-def _by_header(spark: SparkSession, path: str, options: Mapping[str, object]) -> list[list[str]]:
-    """The files of a path in groups of one header each, so that every column is read under its own name.
+def _by_header(spark: SparkSession, path: str) -> list[tuple[list[str], T.StructType | None]]:
+    """The files of a path in groups of one header each, with its columns, so that every column is read under its own name.
 
-    Reads the first line of each file, many at a time. Fails if a header lacks all the others' names.
+    The first line of each file is read through the file system, many at a time: no Spark job a
+    file. Fails if a header lacks all the others' names.
     """
-    reader = spark.read.options(**options)
-    files = sorted(reader.csv(path).inputFiles())
+    files = sorted(spark.read.text(path).inputFiles())
     if len(files) < 2:
-        return [[path]]
-    with ThreadPool(min(16, len(files))) as pool:
-        headers = pool.map(lambda f: tuple(spark.read.options(**options).csv(f).columns), files)
+        return [([path], None)]
+    lines = _first_lines(spark, files)
     groups: dict[tuple, list[str]] = {}
-    for file, header in zip(files, headers):
-        if header:  # an empty file has none
-            groups.setdefault(header, []).append(file)
+    for file, line in zip(files, lines):
+        if line:  # an empty file has none
+            groups.setdefault(tuple(next(csv.reader([line]))), []).append(file)
     if not groups:
-        return [[path]]
+        return [([path], None)]
     for header in groups:
         if not any(set(header) & set(other) for other in groups if other != header) and len(groups) > 1:
             raise ValueError(f"a file of {path} has a header that shares no column with the others: {list(header)}")
-    return list(groups.values())
+    if len(groups) == 1 and all(lines):
+        return [([path], _text_schema(next(iter(groups))))]  # one listing of a folder, not one look at each file
+    return [([_decoded(spark, f) for f in found], _text_schema(header)) for header, found in groups.items()]
+
+
+def _text_schema(header: tuple[str, ...]) -> T.StructType | None:
+    """The header's columns as text; None where Spark would rename one (it then reads the header itself)."""
+    plain = all(header) and len({h.lower() for h in header}) == len(header) and not header[0].startswith("\ufeff")
+    return all_string(list(header)) if plain else None
+
+
+def _decoded(spark: SparkSession, uri: str) -> str:
+    jvm = spark._jvm
+    return jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri)).toString()
+
+
+def _first_lines(spark: SparkSession, files: list[str]) -> list[str]:
+    """The first line of each file that is not blank, unpacked where its name says so; empty if there is none."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def first(uri: str) -> str:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
+        codec, stream = codecs.getCodec(path), path.getFileSystem(conf).open(path)
+        try:
+            lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+            line = lines.readLine()
+            while line is not None and (not line.strip() or line.count('"') % 2):
+                more = lines.readLine()
+                if more is None:
+                    break
+                line = more if not line.strip() else f"{line}\n{more}"
+            return line or ""
+        finally:
+            stream.close()
+
+    with ThreadPool(min(16, len(files))) as pool:
+        return pool.map(first, files)
 
 
 def read_csv(
@@ -111,7 +149,10 @@ def read_csv(
     options = {"header": True, "escape": '"', "multiLine": multi_line, "enforceSchema": False}
 
     def read() -> DataFrame:
-        parts = [spark.read.options(**options).csv(files) for files in _by_header(spark, path, options)]
+        parts = []
+        for found, columns in _by_header(spark, path):
+            reader = spark.read.options(**options)
+            parts.append((reader.schema(columns) if columns is not None else reader).csv(found))
         if ingest_order:
             parts = [with_ingest_order(df) for df in parts]
         df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
@@ -128,6 +169,34 @@ def read_csv(
     return _or_empty(read, lambda: spark.createDataFrame([], T.StructType(fields)), on_missing, on_error)
 
 
+def read_csv_checked(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, null_tokens: bool = True, skip_unreadable: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """The good rows of a CSV path, as :func:`read_csv` gives them, and the damaged ones as (file_path, line).
+
+    A row is damaged if it does not have as many fields as its file's header. One scan writes both
+    to the shared folder; the damaged lines stay there as quarantine. ``skip_unreadable``: of a
+    file that cannot be read on, such as a torn archive, the rows before that place stay and no
+    other file is lost.
+    """
+    bad = "__line"
+    options = {"header": True, "escape": '"', "enforceSchema": False, "columnNameOfCorruptRecord": bad, "ignoreCorruptFiles": skip_unreadable}
+    parts = []
+    for found, columns in _by_header(spark, path):
+        columns = columns or spark.read.options(header=True, escape='"').csv(found).schema
+        part = spark.read.options(**options).schema(T.StructType([*columns, T.StructField(bad, T.StringType())])).csv(found)
+        parts.append(with_ingest_order(part))
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    folder = fresh_dir(spark, "checked-csv")
+    rows.withColumn("__damaged", F.col(bad).isNotNull()).write.partitionBy("__damaged").parquet(folder)
+    back = spark.read.schema(T.StructType([*rows.schema, T.StructField("__damaged", T.BooleanType())])).parquet(folder)
+    good = back.where(~F.col("__damaged")).drop(bad, "__damaged")
+    good = null_tokens_to_null(good) if null_tokens else good
+    absent = [f for f in schema or [] if f.name not in good.columns and f.name != bad]
+    good = good.withColumns({f.name: F.lit(None).cast(f.dataType) for f in absent}) if absent else good
+    return good, back.where("__damaged").select(F.col(INGEST_ORDER[1]).alias("file_path"), F.col(bad).alias("line"))
+
+
 def read_table(
     spark: SparkSession,
     path: str,

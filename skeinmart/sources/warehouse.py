@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from ..operators.counts import row_counts
 from ..schemas import PRIMARY_KEYS, STAR_SCHEMAS
+from .published import load_published
 
 _WRITE_MODE = {"full": "overwrite", "incremental": "append"}
-TARGETS = ("catalog", "path", "connector")
+TARGETS = ("catalog", "path", "connector", "published")
 
 
 def _write_mode(mode: str) -> str:
@@ -125,6 +126,8 @@ def load_all(
         return load_path(star, mode=mode, **options)
     if target == "connector":
         return load_connector(star, mode, **options)
+    if target == "published":
+        return load_published(star, mode, **options)
     raise ValueError(f"unknown target {target!r}, use one of {', '.join(TARGETS)}")
 
 
