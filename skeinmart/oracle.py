@@ -524,6 +524,11 @@ def statements(given_star: bool = False) -> dict[str, str]:
             "row_number() OVER (PARTITION BY strftime(ts, '%Y-%m-%d') ORDER BY event_id) AS line_no, "
             "concat('[', upper(event_type), '] event ', CAST(event_id AS VARCHAR)) AS value FROM events"
         ),
+        "pipeline_resume": _star(
+            "SELECT 2::INTEGER AS run, step, status, table_name, row_count FROM "
+            f"(VALUES ('transform', 'SKIPPED'), ('load', 'PASS')) AS s(step, status), ({_STAR_COUNTS}) "
+            "UNION ALL SELECT 2, step, status, NULL, NULL FROM (VALUES ('extract', 'PASS'), ('validate', 'SKIPPED')) AS s(step, status)"
+        ),
         "distinct_rollup": _star(
             "SELECT 'month' AS level, year, quarter, month, count(DISTINCT customer_id) AS customers "
             "FROM fact_orders JOIN dim_date USING (date_id) GROUP BY year, quarter, month UNION ALL "

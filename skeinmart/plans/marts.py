@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import display
@@ -13,6 +13,7 @@ from ..functions.dates import period_label
 from ..operators.ranking import equal_width_histogram, top_k
 from ..operators.star import distinct_orders
 from ..schemas import CANCELLED
+from ..sources.files import FilesState, files_state
 
 Star = Mapping[str, DataFrame]
 
@@ -34,6 +35,34 @@ def cached(df: DataFrame) -> DataFrame:
     return df.persist()
 
 
+class FollowingCache:
+    """Tables that are kept as long as the files they come from stay as they are.
+
+    ``get`` lists the files. While the listing is the same the kept table is given out;
+    when it changes, that table is released and built again.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self._spark = spark
+        self._kept: dict[str, tuple[FilesState, DataFrame]] = {}
+
+    def get(self, name: str, paths: list[str], build: Callable[[], DataFrame]) -> DataFrame:
+        state = files_state(self._spark, paths)
+        kept = self._kept.get(name)
+        if kept and kept[0] == state:
+            return kept[1]
+        self.release(name)
+        self._kept[name] = state, cached(build())
+        return self._kept[name][1]
+
+    def release(self, name: str | None = None) -> None:
+        """Let go of one table, or of all."""
+        for key in [name] if name else list(self._kept):
+            kept = self._kept.pop(key, None)
+            if kept:
+                kept[1].unpersist()
+
+
 def _revenue() -> Column:
     return N.sum_cents(F.col("revenue"))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import logging
 import time
 import traceback
@@ -11,6 +12,7 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +22,7 @@ from ..operators.counts import row_counts
 from ..operators.quality import gate, validate_star
 from ..schemas import MANIFEST_DDL, STAR_TABLES
 from ..session import size_shuffles
-from ..sources.artifacts import write_report
+from ..sources.artifacts import get_note, put_note, write_report
 from ..sources.files import extract_all, files_state, read_star, read_star_table
 from ..sources.warehouse import load_all, write_table
 
@@ -185,6 +187,44 @@ def stage_load(
 # --- the whole run --------------------------------------------------------------
 
 
+class StageNotes:
+    """What stages have done, by the digest of their input: a note a stage, beside the validation report."""
+
+    def __init__(self, spark: SparkSession, zones: Zones, cleaning: Cleaning, input_key: str | None):
+        self._spark, self._zones = spark, zones
+        self._input = input_key or files_state(spark, [zones.raw]).digest
+        self._cleaning = repr(cleaning)
+
+    def _stage(self, name: str) -> tuple[str, list[str]] | None:
+        """Path of a stage's note, and what it writes; None for stages that are always run."""
+        tables = [f"{self._zones.transformed}/{t}" for t in STAR_TABLES]
+        if name == "transform":
+            of, out = f"{self._input}|{self._cleaning}", tables
+        elif name == "validate":
+            of, out = files_state(self._spark, tables).digest, [f"{self._zones.validated}/validation_report"]
+        else:
+            return None
+        return f"{self._zones.validated}/stages/{name}-{hashlib.sha256(of.encode()).hexdigest()[:24]}.json", out
+
+    def find(self, name: str) -> dict | None:
+        """The note of a stage that need not run again."""
+        if name == "validate" or name == "transform":
+            try:
+                path, out = self._stage(name)
+                note = get_note(self._spark, path)
+                return note if note and note["output"] == files_state(self._spark, out).digest else None
+            except AnalysisException:  # what it wrote is gone
+                return None
+        return None
+
+    def add(self, name: str, row_counts: dict[str, int] | None, failed_checks: int) -> None:
+        stage = self._stage(name)
+        if stage:
+            path, out = stage
+            note = {"row_counts": row_counts, "failed_checks": failed_checks, "output": files_state(self._spark, out).digest}
+            put_note(self._spark, path, note)
+
+
 def run_pipeline(
     spark: SparkSession,
     zones: Zones,
@@ -196,9 +236,15 @@ def run_pipeline(
     env: str = "development",
     load_options: Mapping[str, Any] | None = None,
     cleaning: Cleaning = Cleaning(),
+    resume: bool = False,
+    input_key: str | None = None,
 ) -> RunResult:
     """Extract, transform, validate, load; every step is timed and noted in a manifest.
 
+    With ``resume`` a transform or validation that was done before, by this or an earlier run, with
+    the same input files and cleaning, is skipped if the files it wrote are still as it left
+    them. Frames given as ``raw`` name their content by ``input_key``.
+
     The load step notes the rows that the warehouse then holds. After a full load they
     must be those of the transform, otherwise the run fails.
 
@@ -207,14 +253,24 @@ def run_pipeline(
     """
     result = RunResult("RUNNING")
     began = time.perf_counter()
+    if resume and raw is not None and input_key is None:
+        raise ValueError("a resumed run over frames needs input_key")
+    done = StageNotes(spark, zones, cleaning, input_key) if resume else None
 
     def step(name: str, action: Callable[[], dict[str, int] | None]) -> None:
         start = time.perf_counter()
         note: dict[str, Any] = {"status": "FAIL", "duration": 0.0, "row_counts": None}
         result.steps[name] = note
         try:
+            known = done.find(name) if done else None
+            if known and not (known["failed_checks"] and gate_mode == "fail"):
+                note["row_counts"], result.failed_checks = known["row_counts"], known["failed_checks"]
+                note["status"] = "SKIPPED"
+                return
             note["row_counts"] = action()
             note["status"] = "PASS"
+            if done:
+                done.add(name, note["row_counts"], result.failed_checks)
         finally:
             note["duration"] = round(time.perf_counter() - start, 2)
             log.info("%s %s in %.2f s", name, note["status"], note["duration"])

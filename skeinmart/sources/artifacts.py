@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -95,6 +97,29 @@ def read_logs(spark: SparkSession, path: str, names: str = "*.log", recursive: b
     return numbered.select("file_name", "file_path", (F.col("before") + F.col("here")).alias("line_no"), "value")
 
 
+def put_note(spark: SparkSession, path: str, note: dict) -> None:
+    """A small JSON file on any file system that Spark reaches, replaced if it is there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, True)
+    stream.write(bytearray(json.dumps(note).encode()))
+    stream.close()
+
+
+def get_note(spark: SparkSession, path: str) -> dict | None:
+    """The note at a path; None if there is none, or one that was not written to its end."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(at):
+        return None
+    stream = fs.open(at)
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    except json.JSONDecodeError:
+        return None
+    finally:
+        stream.close()
+
+
 def log_files(logs: DataFrame) -> DataFrame:
     """Log file names, newest name first."""
     return logs.select("file_name").distinct().orderBy(F.desc("file_name"))
