@@ -540,6 +540,24 @@ def statements(given_star: bool = False) -> dict[str, str]:
             *(_share(t, t, pk, 0) for t, pk in _PK.items()),
             *(_share(f"raw_{t}", f"raw_{t}", "customer_id", limit) for limit in (0, 5) for t in ("orders", "customers")),
         ])),
+        "load_connector": _star(
+            f"SELECT table_name, 2 * row_count AS loaded_rows, row_count AS expected_rows, false AS matches FROM ({_STAR_COUNTS})"
+        ),
+        "clean_without_keys": _cleaned(_union([
+            "SELECT 'customers' AS table_name, count(*) AS row_count FROM clean_customers",
+            "SELECT 'products', count(*) FROM clean_products",
+            "SELECT concat(t, '_without_key'), 0 FROM (VALUES ('customers'), ('products')) AS v(t)",
+        ])),
+        "fact_backfill": _star("SELECT * REPLACE (0::BIGINT AS customer_id, 'unknown' AS order_status) FROM fact_orders"),
+        "preview_tables": _star(
+            f"SELECT table_name, least(row_count, 100) AS row_count, least(row_count, 100) AS known_rows FROM ({_STAR_COUNTS})"
+        ),
+        "pipeline_gates": _star(
+            "SELECT run_status, step, step_status, table_name, row_count FROM (VALUES ('FAILED', 'transform', 'PASS'), "
+            "('SUCCESS', 'transform', 'PASS'), ('SUCCESS', 'load', 'PASS')) AS s(run_status, step, step_status), "
+            f"({_STAR_COUNTS}) UNION ALL SELECT run_status, step, step_status, NULL, NULL FROM (VALUES ('FAILED', 'extract', 'PASS'), "
+            "('FAILED', 'validate', 'FAIL'), ('SUCCESS', 'extract', 'PASS'), ('SUCCESS', 'validate', 'PASS')) AS s(run_status, step, step_status)"
+        ),
         "pipeline_run": _star(
             "SELECT mode, step, table_name, CASE WHEN mode = 'incremental' AND step = 'load' THEN 2 ELSE 1 END * row_count "
             f"AS row_count FROM ({_STAR_COUNTS}), (VALUES ('full'), ('incremental')) AS m(mode), "

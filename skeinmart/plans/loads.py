@@ -9,8 +9,9 @@ from pyspark.sql.window import Window
 from ..functions.dates import FIRST_VALUE
 from ..operators import clean, distinct, quality
 from ..operators.counts import row_counts
+from ..operators.star import build_fact_orders
 from ..schemas import RAW_COLUMNS, RAW_SCHEMAS, STAR_TABLES
-from ..session import fresh_dir
+from ..session import fresh_dir, materialize
 from ..sources import artifacts, files, published, testbed, warehouse
 from . import pipeline
 from .snapshot import raw_tables, star_tables
@@ -167,10 +168,57 @@ def check_pct_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def load_connector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full and an incremental load through a data source that takes its table by an option, as warehouse connectors do."""
+    tables, place = star_tables(spark, sf_dir), fresh_dir(spark, "connector")
+    for mode in ("full", "incremental"):
+        loaded = warehouse.load_all(tables, "connector", mode, fmt="parquet", table_option="path", prefix=f"{place}/")
+    return warehouse.verify_load(loaded, tables)
+
+
+def clean_without_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of cleaned customers and products, and of the same tables without their key column."""
+    raw, out = raw_tables(spark, sf_dir), {}
+    for name, cleaned, key in (("customers", clean.clean_customers, "customer_id"), ("products", clean.clean_products, "product_id")):
+        out[name] = cleaned(raw[name], testbed.ORDER_BY[name])
+        out[f"{name}_without_key"] = cleaned(raw[name].drop(key), testbed.ORDER_BY[name])
+    return row_counts(out)
+
+
+def fact_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact of orders that have neither customers nor a status: 0 and ``unknown`` in their place."""
+    orders = clean.clean_orders(raw_tables(spark, sf_dir)["orders"], testbed.ORDER_BY["orders"])
+    return build_fact_orders(orders.drop("customer_id", "status"), star_tables(spark, sf_dir)["dim_products"])
+
+
+def preview_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each star table's preview, and how many different rows of the table they are."""
+    shown = {name: materialize(files.preview(df), "preview") for name, df in star_tables(spark, sf_dir).items()}
+    keys = quality.PRIMARY_KEYS
+    known = {name: df.join(star_tables(spark, sf_dir)[name], keys[name], "left_semi").select(keys[name]).distinct() for name, df in shown.items()}
+    return row_counts(shown).join(row_counts(known).withColumnRenamed("row_count", "known_rows"), "table_name")
+
+
+def pipeline_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs over orders of negative quantity, one that stops at the gate and one that ignores it: their steps, read from the manifests."""
+    raw, place = raw_tables(spark, sf_dir), fresh_dir(spark, "gates")
+    negative = F.when(F.col("order_id").cast("bigint") % 2 == 0, F.concat(F.lit("-"), "quantity")).otherwise(F.col("quantity"))
+    raw = {**raw, "orders": raw["orders"].withColumn("quantity", negative)}
+    for mode in ("fail", "off"):
+        zones = pipeline.Zones(f"{place}/raw", f"{place}/{mode}/star", f"{place}/{mode}/validated", f"{place}/manifests")
+        try:
+            pipeline.run_pipeline(spark, zones, raw, testbed.ORDER_BY, "path", gate_mode=mode, load_options={"warehouse": f"{place}/{mode}/warehouse"})
+        except quality.QualityError:
+            pass  # noted in the manifest
+    steps = artifacts.manifest_steps(artifacts.read_manifests(spark, f"{place}/manifests"))
+    return steps.select("run_status", "step", "step_status", F.explode_outer("row_counts").alias("table_name", "row_count"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         load_retry, load_digest, load_constraints, load_skip_known, clean_orders_first_format, extract_damaged, extract_missing,
         named_tables, log_lines, pipeline_resume, distinct_rollup, check_pct_limits,
+        load_connector, clean_without_keys, fact_backfill, preview_tables, pipeline_gates,
     )
 }
