@@ -20,13 +20,15 @@ from .tables import quoted, row_keys, slices, unused_name, whole_text
 
 Q = 8  # bytes: a q-gram is one 64-bit word
 EDITS = 0.08  # edit budget, per byte of the item
-MIN_BYTES = 24  # shorter items match exactly and between word bounds only; those under Q bytes match nothing
+MIN_BYTES = 24  # shorter items match exactly and between word bounds only
 # The items are sent to the tasks in blocks of at most so many bytes (an item stands alone
 # if it is longer); each block is held against all texts.
 BLOCK_BYTES = 2 << 20
 SLICE_BYTES = 4 << 20
 TABLE_BITS = 22
 MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
+# Bytes that a short item must not have for neighbours: digits, letters, and parts of other signs.
+IN_WORD = np.array([chr(c) in "0123456789abcdefghijklmnopqrstuvwxyz" or c >= 128 for c in range(256)])
 
 
 def normal(text: str) -> bytes:
@@ -66,6 +68,27 @@ class Items:
         self.keys, self.first, self.count = np.unique(every[order], return_index=True, return_counts=True)
         self.table = np.zeros(1 << TABLE_BITS, bool)
         self.table[slot(self.keys)] = True
+        self.short: dict[int, dict[int, list[int]]] = {}  # length -> item as a number -> its places in the block
+        for i, (_, t) in enumerate(items):
+            if len(t) < Q:
+                self.short.setdefault(len(t), {}).setdefault(int.from_bytes(t, "little"), []).append(i)
+
+    def alone(self, data: bytes) -> set[tuple[int, int]]:
+        """(place in the data, item) of the items under Q bytes that stand between word bounds."""
+        found: set[tuple[int, int]] = set()
+        if not self.short or not data:
+            return found
+        padded, n = data + b"\n" * Q, len(data)
+        free = ~IN_WORD[np.frombuffer(padded, np.uint8)]
+        g = np.ndarray((n,), "<u8", padded, 0, (1,))
+        for size, known in self.short.items():
+            begins = free[size : size + n].copy()
+            begins[1:] &= free[: n - 1]
+            at = np.flatnonzero(begins)
+            key = g[at] & np.uint64((1 << 8 * size) - 1)
+            some = np.isin(key, np.array(list(known), np.uint64))
+            found.update((p, i) for p, k in zip(at[some].tolist(), key[some].tolist()) for i in known[k])
+        return found
 
     def hits(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Place in the data, item and place in the item of every shared q-gram."""
@@ -116,6 +139,7 @@ def leaks(texts: list[bytes], items: Items) -> list[tuple[int, int, int]]:
     data = b"\n".join(texts)  # no normalised text has a line break, so no q-gram crosses two
     size = np.fromiter(map(len, texts), np.int64, len(texts))
     begin = np.cumsum(size + 1) - size - 1
+    alone = {(int(np.searchsorted(begin, p, "right")) - 1, i, 0) for p, i in items.alone(data)}
     at, item, place = items.hits(data)
     doc = np.searchsorted(begin, at, "right") - 1
     pair = doc * len(items.items) + item
@@ -123,7 +147,7 @@ def leaks(texts: list[bytes], items: Items) -> list[tuple[int, int, int]]:
     keep = enough[pair] >= items.least[item] if len(pair) else np.zeros(0, bool)
     at, item, place, doc, pair = at[keep], item[keep], place[keep], doc[keep], pair[keep]
     if not len(at):
-        return []
+        return list(alone)
     diagonal = at - begin[doc] - place + items.longest  # above zero
     step = items.edits[item] + 1
     band = diagonal // step
@@ -158,7 +182,7 @@ def leaks(texts: list[bytes], items: Items) -> list[tuple[int, int, int]]:
         e = 0 if text in region else alignment(text, texts[d], shift, 2 * k + 1, k)
         if e <= k:
             best[d, it] = min(e, best.get((d, it), e))
-    return [(d, it, e) for (d, it), e in best.items()]
+    return [*alone, *((d, it, e) for (d, it), e in best.items())]
 
 
 def item_blocks(benchmark: DataFrame, item_id: str, text_col: str):
@@ -169,7 +193,7 @@ def item_blocks(benchmark: DataFrame, item_id: str, text_col: str):
     for b in range(n):
         part = rows.where(F.pmod(F.xxhash64("item_id", "t"), F.lit(n)) == b).distinct().orderBy("item_id", "t")
         block = [(r.item_id, normal(r.t)) for r in part.collect()]
-        block = [(i, t) for i, t in block if len(t) >= Q]
+        block = [(i, t) for i, t in block if t]
         if block:
             yield block
 
@@ -181,7 +205,7 @@ def find_leaks(
 
     Texts and items are compared as the UTF-8 bytes of lower case with blanks
     collapsed; null is empty. The budget is ``EDITS`` an item byte. Items under
-    ``MIN_BYTES`` after that match exactly, between word bounds; those under ``Q`` bytes
+    ``MIN_BYTES`` after that match exactly, between word bounds; empty ones
     match nothing, nor do empty texts. A pair is
     reported once for each repeat of the row, items that are repeated in id and text
     once; ids may be null. Without items or texts the result is empty.

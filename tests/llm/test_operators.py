@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from skeinmart.llm import decontam, hmm_lm, lang_id, pii, quality, quotes, simhash, source_mix, suffix_dedup, vector_dedup
 from skeinmart.llm.components import components
@@ -213,7 +214,7 @@ def part_distance(item, text):
 def test_leaks(spark, docs):
     rng = random.Random(8)
     items = [words(rng, n) for n in (6, 12, 30, 50)]
-    bench = [(i, t) for i, t in enumerate(items)] + [(0, items[0]), (7, None), (8, ""), (9, "One"), (None, items[1])]
+    bench = [(i, t) for i, t in enumerate(items)] + [(0, items[0]), (7, None), (8, ""), (9, "One"), (10, "42"), (11, "é"), (12, "(a b)"), (13, "one"), (14, "seven b"), (15, "eight bb"), (None, items[1])]
     planted = []
     for k, t in enumerate(items):
         for edits in (0, 1, 3, 6, 9, 14):
@@ -223,6 +224,9 @@ def test_leaks(spark, docs):
                 rng.choice([lambda: c.__setitem__(i, "Q"), lambda: c.insert(i, "w"), lambda: c.pop(i)])()
             planted.append((1000 + len(planted), words(rng, 30) + "  " + "".join(c).upper().replace(" ", "\n", 2) + " " + words(rng, 20)))
     planted.append((2000, items[2]))
+    hard = ["42", "421 142 4 2", "is 42.", "x(A  B)", "x(a b)y É", "éa", "seven  B", "seven bb eight bb", "one\none", "4\n2", "z eight bb z", "so (a  b)!"]
+    short = [(3000 + i, t) for i, t in enumerate(hard)] + [(3000, hard[0])]
+    planted += short
     df = docs.unionByName(spark.createDataFrame(planted, "doc_id long, text string"), allowMissingColumns=True)
     want = set()
     norm = [(i, decontam.normal(t)) for i, t in set(bench) if t]
@@ -232,10 +236,15 @@ def test_leaks(spark, docs):
                 e = part_distance(item, decontam.normal(t))
                 if e <= decontam.budget(len(item)):
                     want.add((d, i, e))
+    for r in df.collect():
+        for i, item in norm:
+            if len(item) < decontam.MIN_BYTES and decontam.stands_alone(item, decontam.normal(r.text or "")):
+                want.add((r.doc_id, i, 0))
+    assert {w[1] for w in want if w[0] >= 3000} == set(range(9, 16))
     found = decontam.find_leaks(df, spark.createDataFrame(bench, "item_id long, text string"))
     assert set(rows_of(found, "doc_id", "item_id", "edits")) == want and len({w[2] for w in want}) > 3
     clean = decontam.remove_leaks(df, spark.createDataFrame(bench, "item_id long, text string"))
-    assert clean.columns == df.columns and clean.count() == df.count() - len({w[0] for w in want})
+    assert clean.columns == df.columns and clean.count() == df.count() - df.where(F.col("doc_id").isin(list({w[0] for w in want}))).count()
     none = decontam.find_leaks(df, spark.createDataFrame([], "item_id long, text string"))
     assert none.count() == 0 and none.columns == found.columns
 
