@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .tables import quoted, unused_name, whole_text
 
 TEMPERATURE = 0.5
@@ -48,7 +49,8 @@ def source_rates(docs: DataFrame, source_col: str, text_col: str, weights: dict[
         weight = F.lit(0.0)
         for name, w in weights.items():
             weight = F.when(F.col("source") == name, F.lit(float(w))).otherwise(weight)
-    size = size.withColumn("weight", F.when(F.col("bytes") > 0, weight).otherwise(0.0))
+    # Written: a row a source, so that the size of the file decides how the rates meet the texts, before any text is shuffled.
+    size = materialize(size.withColumn("weight", F.when(F.col("bytes") > 0, weight).otherwise(0.0)), "source-sizes")
     total = size.agg(F.sum("bytes").alias("all_bytes"), F.sum("weight").alias("all_weights")).first()
     want = float(budget if budget is not None else total.all_bytes or 0.0)
     share = F.col("weight") / F.lit(float(total.all_weights or 1.0))
