@@ -98,7 +98,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
     spark = docs.sparkSession
     lab = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("label"))
     lab = lab.where("id IS NOT NULL AND label IN (0, 1)").where(fold("id", folds) != 0)
-    lab = lab.withColumn("h", F.xxhash64("id")).orderBy("h", "id", "label").limit(rows)
+    # Written: at most ``rows`` short rows, whose file size lets the texts stay where they are.
+    lab = materialize(lab.withColumn("h", F.xxhash64("id")).orderBy("h", "id", "label").limit(rows), "quality-labels")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), whole_text(text_col).alias("t"))
 
     def run(batch: pa.RecordBatch):
