@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
@@ -358,6 +359,107 @@ def test_quotes(spark):
     assert quotes.conversations(df.limit(0)).count() == 0
 
 
+def plain_conversations(talk):
+    """The operator's docstring in plain Python, message by message."""
+    seen = []
+    for conv, turn, role, text in talk:
+        lines = [(len(m := re.match(r"(?:[ \t]{0,3}>[ \t]?)*", x).group()) - len(m.replace(">", "")), x[len(m) :]) for x in (text or "").split("\n")]
+        runs, own, body = [], [], []
+        for k, (level, x) in enumerate(lines):
+            deeper = k + 1 < len(lines) and lines[k + 1][0] > level
+            intro = deeper and re.search(r"(?i)\b(wrote|said) ?:[ \t]*$", x) is not None
+            norm = "" if intro else " ".join(re.findall("[a-z0-9]+", x.lower()))
+            if level == 0:
+                body += [] if intro else [x]
+                own += [norm] if norm else []
+            if k == 0 or lines[k - 1][0] != level:
+                runs.append((level, []))
+            runs[-1][1].extend([norm] if norm else [])
+        seen.append((conv, turn, role, "\n".join(body).strip(), own, [(lv, r) for lv, r in runs if lv and r]))
+
+    def origin(conv, turn, unit):
+        def has(own):
+            everything = " ".join(own)
+            return f" {unit} " in f" {everything} " if len(unit.split()) >= 5 else unit in (*own, everything)
+
+        return min((m[1] for m in seen if m[0] == conv and m[1] < turn and has(m[4])), default=None)
+
+    reply, linked = {}, {}
+    for conv, turn in {m[:2] for m in seen}:
+        votes = collections.Counter()
+        for level, r in (p for m in seen if m[:2] == (conv, turn) for p in m[5]):
+            at = origin(conv, turn, " ".join(r))
+            for x in r:
+                votes[level, at if at is not None else origin(conv, turn, x)] += 1
+        votes = {k: n for k, n in votes.items() if k[1] is not None}
+        linked[conv, turn] = sum(votes.values())
+        if votes:
+            reply[conv, turn] = max((-level, n, at) for (level, at), n in votes.items())[2]
+    out = []
+    for conv, turn, role, content, _, runs in seen:
+        root, depth = turn, 0
+        while (conv, root) in reply:
+            root, depth = reply[conv, root], depth + 1
+        out.append((conv, turn, content, sum(len(r) for _, r in runs), linked[conv, turn], reply.get((conv, turn)), root, depth))
+    return out
+
+
+def quoting_talk():
+    """Conversations whose messages quote earlier ones, wrapped anew, nested, cut, changed and answered in between."""
+    rng, talk = random.Random(11), []
+    for conv in range(60):
+        said = []
+        for turn in range(rng.randint(1, 9)):
+            text = [words(rng, rng.choice([1, 2, 4, 5, 9, 30])) for _ in range(rng.randint(1, 3))]
+            for old in rng.sample(said, min(len(said), rng.choice([0, 1, 1, 2]))):
+                if rng.random() < 0.6:  # as a mail program does: every line, marks and all
+                    lines = ["> " + x for x in old.split("\n")]
+                else:
+                    flat = re.sub(r"[> ]+", " ", old.replace("\n", " ")).split()
+                    if rng.random() < 0.3:
+                        flat = flat[rng.randrange(len(flat)) :]
+                    if rng.random() < 0.2:
+                        flat[rng.randrange(len(flat))] = "altered"
+                    step = rng.randint(1, 12)
+                    lines = ["> " + ", ".join(flat[i : i + step]).upper() for i in range(0, len(flat), step)]
+                if rng.random() < 0.5:
+                    lines.insert(0, "On Monday, Ann" + " B" * rng.choice([0, 200]) + " wrote:")
+                at = rng.randrange(len(lines) + 1)
+                if rng.random() < 0.3:
+                    lines.insert(at, rng.choice([">", "", words(rng, 3)]))
+                text[0:0] = lines
+            said.append("\n".join(text))
+            talk.append((conv, turn, "user", said[-1]))
+    return talk + [talk[5], (7, 3, "user", "> " + talk[4][3]), (7, 3, "user", None)]  # repeated rows, parts of one message
+
+
+def test_quoted_passages_against_brute_force_and_sql(spark, tmp_path):
+    talk = quoting_talk()
+    df = spark.createDataFrame(talk, "conv_id long, turn long, role string, text string").repartition(5).cache()
+    names = ["conv_id", "turn", "content", "n_quoted", "n_linked", "reply_to", "thread", "depth"]
+    want = sorted(plain_conversations(talk), key=repr)
+    assert sum(r[4] for r in want) > 200 and any(r[3] > r[4] > 0 for r in want) and max(r[7] for r in want) > 2
+    assert rows_of(quotes.conversations(df), *names) == want
+    df.write.parquet(str(tmp_path / "talk"))
+    with duckdb.connect() as con:
+        con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/talk/*.parquet')")
+        got = con.execute(f"SELECT {', '.join(names)} FROM ({quotes.QUOTES_SQL})").fetchall()
+    assert sorted(got, key=repr) == want
+
+
+def test_passages_across_line_ends(spark):
+    long = "one two three four five six seven " * 30_000
+    talk = [
+        (1, 0, "user", "The quick brown\nfox jumps over the lazy dog."), (1, 1, "user", "yes"),
+        (1, 2, "user", "> the quick\n> brown fox jumps\n>\n> over the lazy dog\nyes, I saw"),
+        (1, 3, "user", "> fox jumps over the lazier dog"), (1, 4, "user", "> brown fox\n> Yes"),
+        (2, 0, "user", long), (2, 1, "user", "> " + long.replace("four five", "four\n> five")),
+    ]
+    df = spark.createDataFrame(talk, "conv_id long, turn long, role string, text string")
+    got = rows_of(quotes.conversations(df), "conv_id", "turn", "n_quoted", "n_linked", "reply_to")
+    assert got == [(1, 0, 0, 0, None), (1, 1, 0, 0, None), (1, 2, 3, 3, 0), (1, 3, 1, 0, None), (1, 4, 2, 1, 1), (2, 0, 0, 0, None), (2, 1, 30_001, 30_001, 0)]
+
+
 def test_long_reply_chain(spark):
     df = spark.createDataFrame([(1, i, "user", f"> line {i - 1}\nline {i}" if i else "line 0") for i in range(50)], "conv_id long, turn long, role string, text string")
     assert rows_of(quotes.conversations(df), "turn", "thread", "depth") == sorted(((i, 0, i) for i in range(50)), key=repr)
