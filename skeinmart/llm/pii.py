@@ -16,6 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .tables import fold, quoted, unused_name, whole_text
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -294,9 +295,12 @@ def fit(judged_docs: DataFrame, id_col: str, out: str) -> tuple[list, dict[int,
 def with_spans(docs: DataFrame, id_col: str, text: str, base: str, every: str) -> DataFrame:
     """Adds ``base`` (base spans) and ``every`` (those and the added ones), each ordered."""
     out = unused_name(docs, "proposals")
-    judged_docs = proposals(docs, text, base, out)
-    some = judged_docs.select(F.col(id_col), F.col(out))
-    trees, limits = fit(some, id_col, out)
+    return judged_spans(proposals(docs, text, base, out), id_col, base, out, every)
+
+
+def judged_spans(judged_docs: DataFrame, id_col: str, base: str, out: str, every: str) -> DataFrame:
+    """Replaces the proposals ``out`` by ``every``: the base spans and the proposals that the trees choose, ordered."""
+    trees, limits = fit(judged_docs.select(F.col(id_col), F.col(out)), id_col, out)
     if not limits:
         return judged_docs.withColumn(every, F.col(base)).drop(out)
 
@@ -325,7 +329,9 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     the trees are fitted on. Other columns are ignored.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("t"))
-    df = with_spans(rows, "doc_id", "t", "base", "every")
+    # The trees and the result both read the spans found: written, so that the texts are searched once.
+    judged_docs = materialize(proposals(rows, "t", "base", "proposals").drop("t"), "proposals")
+    df = judged_spans(judged_docs, "doc_id", "base", "proposals", "every")
     counts = [F.size(F.filter("base", of_kind(i))).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS)]
     return df.select("doc_id", *counts, F.sha2(written(F.col("base")), 256).alias("base_sha256"), written(F.col("every")).alias("spans"))
 
