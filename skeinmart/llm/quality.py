@@ -117,18 +117,24 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
     for _ in range(ROUNDS):
         shared = spark.sparkContext.broadcast(mean)
 
+        def trained(model, n):
+            w = model.weights(slice(None)).astype("<f4").tobytes()
+            return pa.RecordBatch.from_arrays([pa.array([n]), pa.array([w], pa.binary())], ["n", "w"])
+
         def train(batches):
-            model, n = Leader(shared.value.astype(np.float64)), 0
+            model, own, n = None, None, 0
             for batch in batches:
-                for label, i, x in zip(*(batch.column(k).to_pylist() for k in ("label", "i", "x"))):
+                for shard, label, i, x in zip(*(batch.column(k).to_pylist() for k in ("shard", "label", "i", "x"))):
+                    if shard != own:  # a task may have several shards, or none
+                        if n:
+                            yield trained(model, n)
+                        model, own, n = Leader(shared.value.astype(np.float64)), shard, 0
                     model.learn(np.frombuffer(i, "<i4"), np.frombuffer(x, "<f4").astype(np.float64), label)
-                n += batch.num_rows
-            if not n:  # a task without a shard has nothing to send
-                return
-            w = model.weights(slice(None)).astype("<f4").tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([w], pa.binary())], ["n", "w"])
+                    n += 1
+            if n:
+                yield trained(model, n)
 
-        sharded = sample.repartition(SHARDS, "shard").sortWithinPartitions("h", "label").select("label", "i", "x")
+        sharded = sample.repartition(SHARDS, "shard").sortWithinPartitions("shard", "h", "label").select("shard", "label", "i", "x")
         parts = sharded.mapInArrow(train, "n long, w binary").collect()  # at most SHARDS rows
         if parts:
             total = sum(r.n for r in parts)

@@ -563,6 +563,46 @@ def test_quality(spark, docs, empty):
     assert {r.score for r in quality.score_quality(docs, labels.limit(0)).collect()} == {0.5}
 
 
+def test_quality_scores_are_those_of_plain_updates(spark):
+    """Every score, with the updates written out weight by weight over the shards and rounds."""
+    rng = random.Random(21)
+    texts = {i: words(rng, rng.randint(0, 25), "ab" if i % 2 else "yz") + (" ###" if i % 2 else "") for i in range(90)}
+    vectors = {i: [(int(k), float(np.float32(x))) for k, x in zip(*quality.features(t.encode()))] for i, t in texts.items()}
+    vectors = {i: v for i, v in vectors.items() if len(dict(v)) == len(v)}
+    marks = {i: int(rng.random() < (0.1 if i % 2 else 0.9)) for i in vectors}
+    df = spark.createDataFrame([(i, texts[i]) for i in vectors], "doc_id long, text string")
+    labels = spark.createDataFrame(list(marks.items()), "doc_id long, quality int")
+    hashed = {r.doc_id: r.h for r in df.select("doc_id", F.xxhash64("doc_id").alias("h")).collect()}
+    learned = sorted((hashed[i], i) for i in vectors if zlib.crc32(str(i).encode()) % 5)
+    mean = collections.defaultdict(float)
+    slope = quality.BETA / quality.ALPHA + quality.L2
+    for _ in range(quality.ROUNDS):
+        after = collections.defaultdict(float)
+        for shard in range(quality.SHARDS):
+            rows = [i for h, i in learned if h % quality.SHARDS == shard]
+            z = {k: -w * slope - np.sign(w) * quality.L1 for k, w in mean.items()}
+            n = collections.defaultdict(float)
+
+            def weight(k):
+                v = z.get(k, 0.0)
+                return 0.0 if abs(v) <= quality.L1 else -(v - np.sign(v) * quality.L1) / ((quality.BETA + n[k] ** 0.5) / quality.ALPHA + quality.L2)
+
+            for i in rows:
+                own = {k: weight(k) for k, _ in vectors[i]}
+                error = 1 / (1 + np.exp(-sum(own[k] * x for k, x in vectors[i]))) - marks[i]
+                for k, x in vectors[i]:
+                    g = error * x
+                    z[k] = z.get(k, 0.0) + g - ((n[k] + g * g) ** 0.5 - n[k] ** 0.5) / quality.ALPHA * own[k]
+                    n[k] += g * g
+            for k in z:
+                after[k] += weight(k) * len(rows) / len(learned)
+        mean = after
+    got = {r.doc_id: r.score for r in quality.score_quality(df, labels).collect()}
+    want = {i: 1 / (1 + np.exp(-sum(mean[k] * x for k, x in v))) for i, v in vectors.items()}
+    assert got.keys() == want.keys() and max(want.values()) - min(want.values()) > 0.3  # the model has learned something to compare
+    assert max(abs(got[i] - want[i]) for i in got) < 1e-4
+
+
 def test_empty_tables(spark, empty):
     assert simhash.near_duplicates(empty).count() == simhash.deduplicate(empty).count() == 0
     assert suffix_dedup.remove_repeats(empty).count() == 0
