@@ -22,7 +22,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five-word shingles, Jaccard 0.8 or more): that of the least id."""
+    """One document of each group of near duplicates: that of the least id.
+
+    SimHash of five-word shingles, with pivot tables, finds pairs that are verified by their Jaccard similarity
+    of 0.8 or more; an exact search adds the links that SimHash misses.
+    """
     return near_text.deduplicate(docs.select(*COLUMNS))
 
 

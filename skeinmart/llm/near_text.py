@@ -1,4 +1,10 @@
-"""Near-duplicate texts by exact Jaccard similarity of word shingles: prefix filter, fingerprints with pivot tables, verification.
+"""Near-duplicate texts: SimHash with pivot tables, verified by exact Jaccard similarity; then the links that SimHash can't see.
+
+Every set of word shingles has a SimHash fingerprint of 64 bits. Blocks of bits bring near
+fingerprints together, the pivot table and the bits themselves drop pairs (``simhash.links``), and
+the pairs left are verified on the whole sets. That joins most near copies, but sets that
+agree in just 4/5 often differ in more bits, so an exact search follows, between sets that are
+still in different groups.
 
 Two sets that agree in 4/5 of their union share a shingle among the first
 n - ceil(4n/5) + 1 of each, whatever the order of all shingles is. So only these prefixes
@@ -7,7 +13,7 @@ sample decides the work, not the links). First every set is held against the lea
 one that shares a shingle; then, between sets that this leaves in different groups, all
 candidates that sizes and places allow.
 
-Every set has a fingerprint: each shingle toggles one bit of a row of twice to four times as many
+For this search each shingle of a set toggles one bit of a row of twice to four times as many
 bits as the set has shingles. Two such rows never differ in more bits than the sets have shingles of their
 own, which for similar sets are at most a ninth of both sizes. So a pair is dropped, without
 losing a link, where the distances to any reference row differ by more (the pivot table), or the
@@ -24,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .components import components
-from .simhash import SEED, one_of_each
+from .simhash import SEED, links, majority, one_of_each
 from .tables import binary_list, map_arrow, row_keys, starts, whole_groups, whole_text
 
 SHINGLE = 5
@@ -61,6 +67,11 @@ def node_of(own: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(own.tobytes(), SEED)
 
 
+def simhash_of(own: np.ndarray) -> int:
+    """SimHash of a set of shingles; zero for none."""
+    return majority(own.astype(">u8").tobytes())
+
+
 def similar(a: int, b: int, shared: int) -> bool:
     """Whether shared / (a + b - shared) is at least 4/5."""
     return 9 * shared >= 4 * (a + b)
@@ -122,21 +133,38 @@ class Pivots:
 
 
 def named(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, k_id, k_text of every row, and of its set: node (its name), n, bits and pivots (its line of the table)."""
+    """doc_id, k_id, k_text of every row, and of its set: node (its name), n, fp (its SimHash), bits and pivots (their line of the table)."""
 
     def run(batch: pa.RecordBatch):
         pivots = Pivots()
-        node, size, bits, table = [], [], [], []
+        node, size, fp, bits, table = [], [], [], [], []
         for t in binary_list(batch.column(3)):
             own = shingles(t)
             row = bit_row(own)
-            for o, v in zip((node, size, bits, table), (node_of(own), len(own), row.tobytes(), pivots.table(row))):
+            for o, v in zip((node, size, fp, bits, table), (node_of(own), len(own), simhash_of(own), row.tobytes(), pivots.table(row))):
                 o.append(v)
-        made = [signed(node), pa.array(size, pa.int32()), pa.array(bits, pa.binary()), pa.array(table, pa.binary())]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:3], *made], ["doc_id", "k_id", "k_text", "node", "n", "bits", "pivots"])
+        made = [signed(node), pa.array(size, pa.int32()), signed(fp), pa.array(bits, pa.binary()), pa.array(table, pa.binary())]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], *made], ["doc_id", "k_id", "k_text", "node", "n", "fp", "bits", "pivots"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), *row_keys(id_col, text_col), whole_text(text_col).alias("t"))
-    return map_arrow(rows, run, "doc_id long, k_id long, k_text long, node long, n int, bits binary, pivots binary")
+    return map_arrow(rows, run, "doc_id long, k_id long, k_text long, node long, n int, fp long, bits binary, pivots binary")
+
+
+def simhash_pairs(nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes by SimHash: the least node of a fingerprint with its others, and with those of near fingerprints."""
+    some = nodes.where("n > 0").select("node", "fp")
+    fps = materialize(some.groupBy("fp").agg(F.min("node").alias("least")), "fingerprints")
+    near = links(fps.select("fp")).join(fps.toDF("a", "x"), "a").join(fps.toDF("b", "y"), "b")
+    across = near.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    same = some.join(fps, "fp").where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    return same.unionByName(across).distinct()
+
+
+def apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose ends are in different groups so far."""
+    for x in "ab":
+        pairs = pairs.join(groups.toDF(x, f"part_{x}"), x, "left")
+    return pairs.where("coalesce(part_a, a) <> coalesce(part_b, b)").select("a", "b")
 
 
 def frequent_shingles(rows: DataFrame, total: int) -> np.ndarray:
@@ -391,25 +419,26 @@ def candidates(shared: DataFrame, groups: DataFrame, nodes: DataFrame, chunk: in
 def groups_of(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str, chunk: int = CHUNK) -> DataFrame:
     """node, root: the least node that each linked node reaches over links of similarity 4/5 or more."""
     key = F.struct("k_id", "k_text")
-    nodes = rows.groupBy("node").agg(F.min(key).alias("key"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("pivots").alias("pivots"))
+    nodes = rows.groupBy("node").agg(F.min(key).alias("key"), *(F.first(c).alias(c) for c in ("n", "fp", "bits", "pivots")))
     nodes = materialize(nodes, "sets")
+    near = verified(materialize(simhash_pairs(nodes), "simhash-pairs"), nodes, docs, id_col, text_col)
     texts = docs.select(whole_text(text_col).alias("t"))
     found = prefixes(texts, frequent_shingles(texts, rows.count()))
     shared = materialize(shared_shingles(found), "shared-shingles")
-    pairs = materialize(leader_pairs(shared), "leaders")
-    led = verified(pairs, nodes, docs, id_col, text_col)
+    pairs = materialize(apart(leader_pairs(shared), components(near)), "leaders")
+    led = materialize(near.unionByName(verified(pairs, nodes, docs, id_col, text_col)), "led")
     drawn = materialize(drawn_pairs(shared, components(led)), "drawn")
     led = materialize(led.unionByName(verified(drawn, nodes, docs, id_col, text_col)), "led")
     rest = materialize(candidates(shared, components(led), nodes, chunk), "candidates")
-    links = led.unionByName(verified(rest, nodes, docs, id_col, text_col))
-    return components(links).toDF("node", "root")
+    found = led.unionByName(verified(rest, nodes, docs, id_col, text_col))
+    return components(found).toDF("node", "root")
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
     """The rows of ``docs`` with one of each group of near duplicates: the least id, then the least text hash.
 
-    Texts are linked whose sets of five-word shingles (words as in ``simhash.fingerprint``)
-    have a Jaccard similarity of at least 0.8; a group is what links connect. All
+    Texts are linked, by SimHash first, whose sets of five-word shingles (words as in
+    ``simhash.fingerprint``) have a Jaccard similarity of at least 0.8; a group is what links connect. All
     columns are kept. Of rows repeated in id and text one stays. A text of fewer than five
     words is one shingle; blank texts are one group. Null ids come after all others.
     """

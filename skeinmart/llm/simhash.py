@@ -25,6 +25,15 @@ PIVOTS = np.array([xxhash.xxh64_intdigest(bytes([i]), SEED) for i in range(N_PIV
 CHUNK = 2048
 
 
+def majority(h: bytes) -> int:
+    """The bits that are set in over half of some big-endian 64-bit hashes."""
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(h), 8 << 15):
+        part = np.frombuffer(h, np.uint8, min(8 << 15, len(h) - at), at).reshape(-1, 8)
+        ones += np.unpackbits(part, axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(16 * ones > len(h)).tobytes(), "big")
+
+
 def fingerprint(text: bytes, shingle: int) -> int:
     """Majority bits of the XXH64 of all word shingles; zero without words."""
     words = text.lower().split()  # bytes: A-Z, and exactly the six ASCII spaces
@@ -37,12 +46,7 @@ def fingerprint(text: bytes, shingle: int) -> int:
     end = np.cumsum(size + 1) - 1
     first, last = (end - size)[: len(words) - shingle + 1].tolist(), end[shingle - 1 :].tolist()
     digest = xxhash.xxh64_digest
-    h = b"".join([digest(line[i:j], SEED) for i, j in zip(first, last)])  # big-endian
-    ones = np.zeros(64, np.int64)
-    for at in range(0, len(h), 8 << 15):
-        part = np.frombuffer(h, np.uint8, min(8 << 15, len(h) - at), at).reshape(-1, 8)
-        ones += np.unpackbits(part, axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > len(first)).tobytes(), "big")
+    return majority(b"".join([digest(line[i:j], SEED) for i, j in zip(first, last)]))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:

@@ -126,3 +126,24 @@ def test_few_pairs_are_verified(spark, monkeypatch):
     monkeypatch.setattr(near_text, "plausible", lambda pairs, nodes: (lambda out: seen.append((pairs.count(), out.count())) or out)(original(pairs, nodes)))
     assert near_text.deduplicate(docs).count() == 60
     assert sum(n for _, n in seen) == 10, "of the pairs that share a shingle only the links are left"
+
+
+def test_simhash_joins_near_copies_before_the_exact_search(spark):
+    rng = random.Random(12)
+    base = [words(rng, 300).split() for _ in range(4)]
+    texts = [" ".join(b) for b in base]
+    for b in base:
+        texts += [" ".join(b), " ".join(b + [words(rng, 1)]), " ".join([words(rng, 1)] + b)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate([None, " ", *texts])], KINDS).repartition(3)
+    rows = near_text.named(docs, "doc_id", "text")
+    nodes = rows.groupBy("node").agg(*(near_text.F.first(c).alias(c) for c in ("n", "fp")))
+    pairs = near_text.simhash_pairs(nodes)
+    linked = {r.node: r.component for r in near_text.components(pairs).collect()}
+    of = {r.doc_id: linked.get(r.node, r.node) for r in rows.collect()}
+    assert len({of[2 + i] for i in range(4)}) == 4, "different texts stay apart"
+    joined = sum(of[2 + 4 + 3 * i + k] == of[2 + i] for i in range(4) for k in range(3))
+    assert joined >= 10, "one word more at an end changes few bits"
+    assert of[0] == of[1] and near_text.simhash_of(near_text.shingles(b"")) == 0
+    own = near_text.shingles(texts[0].encode())
+    assert near_text.simhash_of(own) == near_text.majority(b"".join(int(x).to_bytes(8, "big") for x in own))
+    assert near_text.apart(pairs, near_text.components(pairs)).count() == 0, "nothing is verified twice"
