@@ -193,9 +193,10 @@ def fact_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def preview_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of each star table's preview, and how many different rows of the table they are."""
-    shown = {name: materialize(files.preview(df), "preview") for name, df in star_tables(spark, sf_dir).items()}
-    keys = quality.PRIMARY_KEYS
-    known = {name: df.join(star_tables(spark, sf_dir)[name], keys[name], "left_semi").select(keys[name]).distinct() for name, df in shown.items()}
+    star, keys = star_tables(spark, sf_dir), quality.PRIMARY_KEYS
+    shown = {name: materialize(files.preview(df), "preview") for name, df in star.items()}
+    # The table is held against the few keys shown: they are broadcast, and none of its rows is shuffled.
+    known = {name: df.join(shown[name], keys[name], "left_semi").select(keys[name]).distinct() for name, df in star.items()}
     return row_counts(shown).join(row_counts(known).withColumnRenamed("row_count", "known_rows"), "table_name")
 
 

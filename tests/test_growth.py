@@ -4,7 +4,8 @@ from contextlib import contextmanager
 
 import helpers as H
 
-from skeinmart.plans import catalogue
+from skeinmart.operators.counts import row_counts
+from skeinmart.plans import catalogue, loads
 from skeinmart.sources import artifacts
 
 SMOKE = "/root/testdata/sf0.001"
@@ -28,3 +29,13 @@ def test_report_is_validated_once(spark, monkeypatch):
     monkeypatch.setattr(artifacts, "write_report", lambda df, *a: (written.append(H.plan(df)), original(df, *a)))
     assert catalogue.registry()["report_round_trip"](spark, SMOKE).count() == 32
     assert len(written) == 2 and not any("HashAggregate" in plan for plan in written)
+
+
+def test_previews_are_the_small_side(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(loads, "row_counts", lambda tables: (seen.append(tables), row_counts(tables))[1])
+    with settings(spark, autoBroadcastJoinThreshold="-1", maxMetadataStringLength="2000"):
+        loads.preview_tables(spark, SMOKE)
+        for name, df in seen[1].items():
+            plan = H.plan(df)
+            assert plan.index(f"/{name}]") < plan.index("/preview-"), "the right side of a half join is what is broadcast"
