@@ -11,12 +11,16 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.star import StarTables
-from ..session import fresh_dir, shared_dir, size_shuffles
+from ..session import fresh_dir, limit_splits, shared_dir, size_shuffles
 from ..sources import testbed
 from ..sources.files import files_state, read_star
 from ..sources.warehouse import write_table
 from .pipeline import transform_to_zone
 
+# Bytes that a byte of the packed source tables takes up as rows that are sorted: about 14 bytes of
+# Parquet make one raw order of 150 and more, and a sort must not fill a task's memory.
+_UNPACKED = 32
+
 _lock = threading.RLock()
 _zones: dict[tuple, str] = {}
 
@@ -25,7 +29,8 @@ def _state(spark: SparkSession, sf_dir: str) -> tuple:
     """Changes when the session or a source file changes."""
     paths = [f"{sf_dir}/{t}.parquet" for t in testbed.SOURCE_TABLES]
     files = files_state(spark, paths)
-    size_shuffles(spark, files.size)
+    size_shuffles(spark, files.size * _UNPACKED)
+    limit_splits(spark)
     return spark.sparkContext.applicationId, sf_dir, files
 
 

@@ -5,8 +5,9 @@ from contextlib import contextmanager
 import helpers as H
 
 from skeinmart.operators.counts import row_counts
-from skeinmart.plans import catalogue, loads
+from skeinmart.plans import catalogue, loads, snapshot
 from skeinmart.sources import artifacts
+from skeinmart.sources.files import FilesState
 
 SMOKE = "/root/testdata/sf0.001"
 
@@ -24,6 +25,18 @@ def settings(spark, **values):
             spark.conf.unset(keys[k]) if v is None else spark.conf.set(keys[k], v)
 
 
+def test_tasks_get_a_bounded_share_of_the_tables(spark, monkeypatch):
+    monkeypatch.setattr(snapshot, "files_state", lambda *_: FilesState(6, 1 << 30, "x"))
+    with settings(spark, shuffle__partitions="4", files__maxPartitionBytes="128m"):
+        snapshot._state(spark, SMOKE)
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) == 64
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == f"{32 << 20}b"
+    with settings(spark, shuffle__partitions="400", files__maxPartitionBytes="1m"):
+        snapshot._state(spark, SMOKE)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "400"
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "1m"
+
+
 def test_report_is_validated_once(spark, monkeypatch):
     written, original = [], artifacts.write_report
     monkeypatch.setattr(artifacts, "write_report", lambda df, *a: (written.append(H.plan(df)), original(df, *a)))
