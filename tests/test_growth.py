@@ -3,11 +3,14 @@
 from contextlib import contextmanager
 
 import helpers as H
+import pytest
+from pyspark.sql import functions as F
 
 from skeinmart.operators.counts import row_counts
 from skeinmart.plans import catalogue, loads, snapshot
-from skeinmart.sources import artifacts
+from skeinmart.sources import artifacts, published
 from skeinmart.sources.files import FilesState
+from test_star import fixture_star
 
 SMOKE = "/root/testdata/sf0.001"
 
@@ -52,3 +55,19 @@ def test_previews_are_the_small_side(spark, monkeypatch):
         for name, df in seen[1].items():
             plan = H.plan(df)
             assert plan.index(f"/{name}]") < plan.index("/preview-"), "the right side of a half join is what is broadcast"
+
+
+@pytest.mark.parametrize("constraints", ["off", "report"])
+def test_unique_keys_are_counted_in_the_written_buckets(spark, tmp_path, monkeypatch, constraints):
+    star, house = fixture_star(spark), published.Warehouse(spark, str(tmp_path / "w"), buckets=4)
+    customers = star["dim_customers"]
+    nulls = customers.withColumn("customer_id", F.lit(None).cast("long"))
+    planted = {**star, "dim_customers": customers.unionByName(customers).unionByName(customers.limit(1)).unionByName(nulls)}
+    counted, original = [], published.Warehouse._repeated
+    monkeypatch.setattr(published.Warehouse, "_repeated", staticmethod(lambda df, key: (counted.append(key), original(df, key))[1]))
+    broken = {(t, c): n for t, c, n in house.load(planted, "a", constraints=constraints).violations}
+    assert len(counted) == (0 if constraints == "off" else 4), "nothing is looked at that nobody asked for"
+    if constraints == "report":
+        assert broken["dim_customers", "unique: customer_id"] == customers.count() + 1
+    keys = house.table("dim_customers").groupBy("customer_id").agg(F.count("*").alias("n"))
+    assert "Exchange" not in H.plan(keys)
