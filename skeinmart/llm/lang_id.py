@@ -20,14 +20,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import materialize
+from ..session import limit_batches, materialize
 from .tables import fold, map_arrow, quoted, row_keys, slices, unused_name, whole_text
 
 ORDER = 4
 UNKNOWN = "und"
 # The models are fitted on at most so many rows of each language, those of the least id hash.
 ROWS_PER_LANG = 1500
-SLICE_CHARS = 1 << 20
+# Characters worked on at a time: some 200 bytes for each are held meanwhile.
+SLICE_CHARS = 1 << 18
 # Rejected: above the mean cross-entropy by a bit a symbol and so many standard deviations.
 REJECT_BITS, REJECT_Z = 1.0, 12.0
 MULTIPLY = np.uint64(0x100000001B3)
@@ -264,6 +265,7 @@ def identify(
     learned from, every text is ``und`` and rejected. A null id is neither learned from
     nor held out. The added columns, called ``names``, replace columns of those names.
     """
+    limit_batches(docs.sparkSession)
     models = fit(docs, id_col, text_col, lang_col, folds, held, rows_per_lang, order)
     out = docs.drop(*names).withColumn(names[0], F.coalesce(fold(id_col, folds) == held, F.lit(False)))
     if models is None:

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import limit_batches, materialize
 from .components import components
 from .simhash import SEED, links, majority, one_of_each
 from .tables import binary_list, map_arrow, row_keys, starts, whole_groups, whole_text
@@ -36,6 +36,8 @@ from .tables import binary_list, map_arrow, row_keys, starts, whole_groups, whol
 SHINGLE = 5
 # Texts whose shingles are counted for the order, and how many frequent ones go last.
 SAMPLE_ROWS, FREQUENT = 20_000, 100_000
+# Sampled shingles that a task counts at a time.
+COUNTED = 1 << 21
 # A shingle that more sets share is dealt out in pairs of chunks, and first in so many shares if it is frequent.
 CHUNK, SHARES = 2048, 64
 # Reference rows of the pivot table; the first is the empty set's.
@@ -168,15 +170,25 @@ def apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def frequent_shingles(rows: DataFrame, total: int) -> np.ndarray:
-    """Shingles of many sampled texts, sorted; at most FREQUENT. A task leaves out what it met once."""
+    """Shingles of many sampled texts, sorted; at most FREQUENT. A task leaves out what it met once in COUNTED."""
     n = max(1, total // SAMPLE_ROWS)
 
+    def count(held):
+        s, c = np.unique(np.concatenate(held), return_counts=True)
+        some = c > 1
+        return pa.RecordBatch.from_arrays([signed(s[some]), pa.array(c[some])], ["s", "c"])
+
     def run(batches):
+        held, total = [], 0
         for batch in batches:
-            if batch.num_rows:
-                s, count = np.unique(np.concatenate([shingles(t) for t in binary_list(batch.column(0))]), return_counts=True)
-                some = count > 1
-                yield pa.RecordBatch.from_arrays([signed(s[some]), pa.array(count[some])], ["s", "c"])
+            for t in binary_list(batch.column(0)):
+                held.append(shingles(t))
+                total += len(held[-1])
+                if total >= COUNTED:
+                    yield count(held)
+                    held, total = [], 0
+        if held:
+            yield count(held)
 
     some = rows.where(F.pmod(F.xxhash64("t"), F.lit(n)) == 0)
     counted = some.mapInArrow(run, "s long, c long").groupBy("s").agg(F.sum("c").alias("c")).where("c > 8")
@@ -389,7 +401,7 @@ def candidates(shared: DataFrame, groups: DataFrame, nodes: DataFrame, chunk: in
     names = ["s", "lo", "hi"]
 
     def run(batches):
-        for t in whole_groups(batches, names):
+        for t in whole_groups(batches, names, 20_000):
             col = {k: t.column(k).to_numpy() for k in ("node", "part", "side")}
             n, pos = (t.column(k).to_numpy().astype(np.int64) for k in ("n", "pos"))
             sent = t.column("code").to_pylist()
@@ -442,5 +454,6 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     columns are kept. Of rows repeated in id and text one stays. A text of fewer than five
     words is one shingle; blank texts are one group. Null ids come after all others.
     """
+    limit_batches(docs.sparkSession)
     rows = materialize(named(docs, id_col, text_col), "shingle-nodes")
     return one_of_each(docs, rows, "node", groups_of(docs, rows, id_col, text_col, chunk), id_col, text_col)

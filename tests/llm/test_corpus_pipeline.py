@@ -4,13 +4,18 @@ import collections
 import math
 import os
 import random
+import tracemalloc
 
 import corpus_pipeline as pipeline
 import duckdb
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import functions as F
 from test_near_text import shingle_set
 from test_operators import words
 
-from skeinmart.llm import lang_id, pii, source_mix
+from skeinmart.llm import lang_id, near_text, pii, source_mix
+from skeinmart.llm.tables import slices
 
 KINDS = "doc_id long, text string, lang string, source string, n_chars long"
 LETTERS = {"en": "abcdefgh", "xx": "mnopqrst"}
@@ -115,3 +120,29 @@ def test_run_is_the_stages_one_after_another(spark, tmp_path):
     assert collections.Counter(r.doc_id for r in out) == mixed(tmp_path, left)
     assert {(r.doc_id, r.text) for r in out} <= {(r[0], r[1]) for r in left}
     assert not any(item in r.text or pii.KINDS and "@" in r.text for r in out) and math.isfinite(len(out))
+
+
+def test_workers_get_batches_of_bounded_size(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.expr("repeat(concat('word', id, ' '), 1200)").alias("text"), F.lit("en").alias("lang")).repartition(1)
+    sizes = lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"]) for b in batches)
+    for stage, before, most in ((lang_id.keep_identified, "64m", 5 << 20), (lang_id.keep_identified, "1m", 2 << 20), (near_text.deduplicate, "64m", 5 << 20)):
+        spark.conf.set(key, before)
+        try:
+            stage(docs.limit(0))
+            got = [r.n for r in docs.mapInArrow(sizes, "n long").collect()]
+        finally:
+            spark.conf.unset(key)
+        assert sum(got) > 20 << 20 and max(got) <= most, (stage, before)
+
+
+def test_slices_bound_the_memory_of_a_language_worker():
+    rows = [("a", n, n, n - 1, n - 1, 1) for n in range(1, lang_id.ORDER + 1)]
+    m = lang_id.kneser_ney(pd.DataFrame(rows, columns=["lang", "n", "gram", "context", "suffix", "c"]), lang_id.ORDER)
+    letter, texts = lang_id.letter_table(), ["some words " * 300] * 1500
+    tracemalloc.start()
+    for i, j in slices([len(t) for t in texts], lang_id.SLICE_CHARS):
+        m.entropy(*lang_id.symbols(texts[i:j], letter))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 64 << 20
