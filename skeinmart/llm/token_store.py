@@ -8,8 +8,10 @@ lookup by document id skips files, stripes and row groups by their statistics an
 from __future__ import annotations
 
 import os
+import uuid
 import zlib
-from itertools import chain
+from collections.abc import Callable
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +24,10 @@ from ..session import fresh_dir
 from .tables import map_arrow, slices, whole_text
 
 END_ID = 2
-# Bytes of text that are encoded at once, and pieces whose ids a task remembers.
+# Bytes of text that are encoded at once, and pieces whose ids a worker remembers.
 BATCH_BYTES, REMEMBERED = 4 << 20, 1 << 20
+# Pieces that are encoded in one string.
+JOINED = 64
 # Text of a file, before encoding: it sets the number of range partitions.
 FILE_BYTES = 64 << 20
 # A vocabulary travels to the executors whole; a larger one is refused.
@@ -37,6 +41,13 @@ _BLANK = r"\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\
 _MARKS = ("\x00", "\x01", "\x02", "\x03")
 
 
+def _mostly(texts: pa.StringArray, odd: pa.BooleanArray, plain: Callable, careful: Callable) -> pa.StringArray:
+    """The texts changed by ``plain``, and the odd ones by ``careful``."""
+    if not pc.any(odd).as_py():
+        return plain(texts)
+    return pc.replace_with_mask(plain(texts), odd, careful(texts.filter(odd)))
+
+
 def pieces(texts: pa.StringArray) -> pa.ListArray:
     """Each text cut where encoding the pieces gives the ids of the whole.
 
@@ -50,12 +61,22 @@ def pieces(texts: pa.StringArray) -> pa.ListArray:
             return pa.ListArray.from_arrays(pa.array([0, 1], pa.int32()), texts)
         half = len(texts) // 2
         return pa.concat_arrays([pieces(texts.slice(0, half)), pieces(texts.slice(half))])
-    cut = pc.replace_substring_regex(texts, f" ([^{_BLANK}])", f"{mark} \\1")
+    # Most texts have no other blanks and line ends than such: for them a plain replacement does.
+    odd = pc.match_substring_regex(texts, f" ([{_BLANK}]|$)")
+    cut = _mostly(texts, odd, lambda t: pc.replace_substring(t, " ", f"{mark} "), lambda t: pc.replace_substring_regex(t, f" ([^{_BLANK}])", f"{mark} \\1"))
     other = f"([^{_BLANK}\\x{ord(mark):02x}])"
-    cut = pc.replace_substring_regex(cut, f"{other}\n{other}", f"\\1{mark}\n{mark}\\2")
+    odd = pc.match_substring_regex(texts, f"(^|[{_BLANK}])\n|\n([{_BLANK}]|$)")
+    cut = _mostly(
+        cut, odd, lambda t: pc.replace_substring(t, "\n", f"{mark}\n{mark}"),
+        lambda t: pc.replace_substring_regex(t, f"{other}\n{other}", f"\\1{mark}\n{mark}\\2"),
+    )
     return pc.split_pattern(cut, mark)
 
 
+def _strings(texts: pa.StringArray) -> list[str]:
+    return texts.to_numpy(zero_copy_only=False).tolist()
+
+
 class Encoder:
     """Ids of texts; every different piece is encoded once as long as it is remembered."""
 
@@ -70,11 +91,19 @@ class Encoder:
             self.bytes[i] = len(sign)
         for i, token in self.model.get_added_tokens_decoder().items():
             self.bytes[i] = len(token.content.encode())
-        self.forget()
+        # Of each piece its place, and by place: where its ids begin, how many it has, whether another batch had it.
+        self.place: dict[str, int] = {}
+        self.ids, self.first, self.count, self.used = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
 
     def forget(self) -> None:
-        self.place: dict[str, int] = {}
-        self.ids, self.first, self.count = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        """Keep only pieces that a later batch had again, if those are at most half of what may be remembered."""
+        keep = np.flatnonzero(self.used) if 2 * self.used.sum() <= REMEMBERED else np.zeros(0, np.int64)
+        n = self.count[keep]
+        shift = np.repeat(self.first[keep] - (np.cumsum(n) - n), n)
+        words = list(self.place)  # in order of their places
+        self.place = {words[i]: k for k, i in enumerate(keep.tolist())}
+        self.ids, self.count = self.ids[shift + np.arange(len(shift))], n
+        self.first, self.used = np.cumsum(n) - n, np.zeros(len(n), bool)
 
     def singly(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all pieces one after another, and how many each has."""
@@ -82,26 +111,33 @@ class Encoder:
         n = np.fromiter(map(len, found), np.int64, len(found))
         return np.fromiter(chain.from_iterable(found), np.int32, int(n.sum())), n
 
-    def joined(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The same for pieces that begin with a blank and a sign, many in one string.
+    def joined(self, new: list[str], size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for pieces of ``size`` bytes that begin with a blank and a sign, many in one string.
 
         Ids of byte-level BPE stand for bytes, so their lengths tell where the pieces end.
         """
-        ids, _ = self.singly(["".join(new[i : i + 512]) for i in range(0, len(new), 512)])
-        ends = np.cumsum(np.fromiter((len(p.encode()) for p in new), np.int64, len(new)))
+        ids, _ = self.singly(["".join(new[i : i + JOINED]) for i in range(0, len(new), JOINED)])
+        ends = np.cumsum(size)
         upto = np.cumsum(self.bytes[ids])
         at = np.searchsorted(upto, ends)
         if len(at) and (at[-1] + 1 != len(ids) or (upto[at] != ends).any()):
             return self.singly(new)  # not a byte-level vocabulary
         return ids, np.diff(at, prepend=-1)
 
-    def learn(self, new: list[str]) -> None:
-        plain = [w for w in new if w[:1] == " " and w[1:2].strip()]
-        other = [w for w in new if not (w[:1] == " " and w[1:2].strip())]
-        parts = [(self.ids, self.count), self.joined(plain), self.singly(other)]
-        self.place.update(zip([*plain, *other], range(len(self.place), len(self.place) + len(new))))
+    def learn(self, new: pa.StringArray) -> np.ndarray:
+        """Encode and remember pieces; returns their places."""
+        plain = pc.match_substring_regex(new, f"^ [^{_BLANK}]").to_numpy(zero_copy_only=False)
+        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+        words, n, known = _strings(new.take(pa.array(order))), int(plain.sum()), len(self.count)
+        size = pc.binary_length(new).to_numpy()[plain].astype(np.int64)
+        parts = [(self.ids, self.count), self.joined(words[:n], size), self.singly(words[n:])]
+        self.place.update(zip(words, range(known, known + len(words))))
         self.ids, self.count = (np.concatenate(x) for x in zip(*parts))
         self.first = np.cumsum(self.count) - self.count
+        self.used = np.append(self.used, np.zeros(len(words), bool))
+        places = np.empty(len(words), np.int64)
+        places[order] = np.arange(known, known + len(words))
+        return places
 
     def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after another, and how many each has."""
@@ -109,9 +145,12 @@ class Encoder:
             self.forget()
         cut = pieces(texts)
         coded = cut.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        self.learn([w for w in words if w not in self.place])
-        at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))[coded.indices.to_numpy()]
+        place = np.fromiter(map(self.place.get, _strings(coded.dictionary), repeat(-1)), np.int64, len(coded.dictionary))
+        new = np.flatnonzero(place < 0)
+        self.used[place[place >= 0]] = True
+        if len(new):
+            place[new] = self.learn(coded.dictionary.take(pa.array(new)))
+        at = place[coded.indices.to_numpy()]
         n = self.count[at]
         ends = np.cumsum(n)
         shift = np.repeat(self.first[at] - (ends - n), n)
@@ -121,6 +160,17 @@ class Encoder:
         return ids, np.diff(total[borders])
 
 
+_kept: dict[str, Encoder] = {}
+
+
+def _encoder(run: str, vocabulary: str) -> Encoder:
+    """The encoder of this worker for one run, which the worker's tasks share; that of an earlier run goes."""
+    if run not in _kept:
+        _kept.clear()
+        _kept[run] = Encoder(vocabulary)
+    return _kept[run]
+
+
 def _vocabulary(path: str) -> str:
     if os.path.getsize(path) > MOST_VOCABULARY:
         raise ValueError(f"{path} is larger than {MOST_VOCABULARY} bytes")
@@ -147,6 +197,7 @@ def encode(rows: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFrame:
     """FILE_SCHEMA rows of the documents of an ordered frame, each partition a part."""
     # The vocabulary is of bounded size (MOST_VOCABULARY); workers then need no file of their own.
     sent = rows.sparkSession.sparkContext.broadcast(_vocabulary(vocabulary))
+    name = uuid.uuid4().hex
 
     def run(batches):
         from pyspark import TaskContext
@@ -155,7 +206,7 @@ def encode(rows: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFrame:
         for batch in batches:
             texts = batch.column("text").cast(pa.string())
             for a, b in slices(pc.binary_length(texts).to_pylist(), BATCH_BYTES):
-                known = known or Encoder(sent.value)
+                known = known or _encoder(name, sent.value)
                 ids, n = known.encode(texts.slice(a, b - a))
                 ends, m = np.cumsum(n + 1), b - a
                 yield pa.RecordBatch.from_arrays(

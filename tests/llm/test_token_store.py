@@ -57,6 +57,23 @@ def test_forgetting_changes_nothing(model, monkeypatch):
         assert encoder.encode(pa.array([text]))[0].tolist() == model.encode(text, add_special_tokens=False).ids
 
 
+def test_pieces_are_few_and_shared_by_the_tasks_of_a_run(model, monkeypatch):
+    with open(public_tokenizer()) as f:
+        vocabulary = f.read()
+    texts = ["one two\na\nb\nc", "two  blanks \n\n x\ny", " ", "", "end \n", "é\u3000\nä ö"]
+    assert token_store.pieces(pa.array(texts[:1])).to_pylist() == [["one", " two", "\n", "a", "\n", "b", "\n", "c"]]
+    assert ["".join(p) for p in token_store.pieces(pa.array(texts)).to_pylist()] == texts
+    encoder = token_store._encoder("run 1", vocabulary)
+    assert token_store._encoder("run 1", vocabulary) is encoder, "the next task of the worker has its pieces"
+    monkeypatch.setattr(token_store, "REMEMBERED", 6)
+    for text in ("one two three four five six", "two seven six", "six two one", "seven two eight one", *texts):
+        assert encoder.encode(pa.array([text]))[0].tolist() == model.encode(text, add_special_tokens=False).ids
+        if text.startswith("six"):
+            assert {" two", " six"} <= set(encoder.place) and " three" not in encoder.place, "what comes again stays"
+    assert token_store._encoder("run 2", vocabulary) is not encoder and list(token_store._kept) == ["run 2"]
+    token_store._kept.clear()
+
+
 @pytest.mark.parametrize("parts", [None, 1, 7])
 def test_digests(spark, model, parts):
     rng = random.Random(2)
