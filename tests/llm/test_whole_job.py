@@ -57,3 +57,19 @@ def test_spans_that_no_base_pattern_has(spark):
     for kind in pii.KINDS:
         own = {i for i, s in real.items() if s.startswith(kind)}
         assert sum(added.get(i) == real[i] for i in own) >= 0.95 * len(own), kind
+
+
+def test_passages_are_cut_from_400_bytes_on_whatever_their_words(spark):
+    rng = random.Random(9)
+
+    def letters(n):
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz" + 10 * " ") for _ in range(n))
+
+    planted = {n: letters(n) for n in (320, 399, 400, 401)}
+    assert all(len(p.split()) > 50 for p in planted.values())
+    # Signs of its own on both sides of a passage, so that no copy goes on past it.
+    rows = [(10 * k + c, letters(700) + "<[{"[c] + p + ">]}"[c] + letters(500), n) for k, (n, p) in enumerate(planted.items()) for c in range(3)]
+    rows += [(100 + k, letters(1500), 0) for k in range(5)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    got = rows_of(suffix_dedup.remove_repeats(docs), "doc_id", "n_bytes", "n_removed", "n_spans")
+    assert got == sorted(((i, len(t), n * (n >= 400), int(n >= 400)) for i, t, n in rows), key=repr)
