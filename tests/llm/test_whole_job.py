@@ -1,11 +1,12 @@
 """Cases that the operators once left out."""
 
+import hashlib
 import random
 
 from pyspark.sql import functions as F
 from test_operators import rows_of, words
 
-from skeinmart.llm import decontam, pii, suffix_dedup
+from skeinmart.llm import decontam, pii, registry, suffix_dedup
 
 
 def test_rows_of_one_id_whose_32_bit_hashes_agree(spark):
@@ -73,3 +74,20 @@ def test_passages_are_cut_from_400_bytes_on_whatever_their_words(spark):
     docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
     got = rows_of(suffix_dedup.remove_repeats(docs), "doc_id", "n_bytes", "n_removed", "n_spans")
     assert got == sorted(((i, len(t), n * (n >= 400), int(n >= 400)) for i, t, n in rows), key=repr)
+
+
+def test_the_query_gives_the_text_that_is_left(spark, tmp_path):
+    rng = random.Random(10)
+    passage = words(rng, 90)
+    assert len(passage) >= 400
+    own = [words(rng, 300) for _ in range(5)]
+    # The last byte of these two letters agrees, so that the passage takes half of a letter along.
+    rows = [(1, own[0] + "<" + passage + ">" + own[1]), (2, own[2] + "[" + passage + "]" + own[3]), (3, own[4]), (4, None), (5, "x\u00e9" + passage), (6, "y\u0169" + passage)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = registry.op7_suffix_dedup(spark, str(tmp_path))
+    assert found.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"]
+    got = {r.doc_id: r for r in found.collect()}
+    left = {1: own[0] + "<>" + own[1], 2: own[2] + "[]" + own[3], 3: own[4], 4: "", 5: "x\ufffd", 6: "y\ufffd"}
+    assert {i: r.text for i, r in got.items()} == left
+    assert all(got[i].kept_sha256 == hashlib.sha256(left[i].encode()).hexdigest() for i in (1, 2, 3, 4))
+    assert got[5].kept_sha256 == hashlib.sha256(b"x\xc3").hexdigest() and got[5].n_removed == len(passage) + 1
